@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm.bpe import encode_corpus
+from lexmill.llm.langid import canonical_label, label_languages, train, training_sample
 from lexmill.llm.packing import pack_documents, packing_report
 from lexmill.llm.survivor import best_records, duplicate_key, survivor_items
 from lexmill.llm.visual import visual_forms
@@ -24,6 +25,23 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return survivor_items(p1_survivors(spark, sf))
 
 
+def p2_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Language and confidence of every definition and of the stretches of the mixed ones."""
+    entries = table(spark, sf, "entries").select("rec_id", "definition", "definition_lang")
+    model = train(training_sample(entries, "definition", "definition_lang"))
+    return label_languages(spread(entries), "rec_id", "definition", model)
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    entries = table(spark, sf, "entries").select("rec_id", "definition", "definition_lang")
+    model = train(training_sample(entries, "definition", "definition_lang"))
+    # the label travels with the id, so that nothing has to be joined back
+    tagged = entries.select(F.struct("rec_id", canonical_label(F.col("definition_lang")).alias("label")).alias("tag"), "definition")
+    found = label_languages(spread(tagged), "tag", "definition", model).where(F.col("lang").isNotNull())
+    wrong = (F.col("seg") > 0) | ~F.col("tag.label").eqNullSafe(F.col("lang"))
+    return found.where(wrong).select("tag.rec_id", "seg", "lang")
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return visual_forms(table(spark, sf, "entries"), "rec_id", ["word_hindi", "head_word"])
 
@@ -48,7 +66,7 @@ def p7_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_survivors, p5_found, p6_ids, p7_containers, p7_report)}
+    return {f.__name__: f for f in (p1_found, p1_survivors, p2_found, p2_segments, p5_found, p6_ids, p7_containers, p7_report)}
 
 
 def oracle_sql() -> dict[str, str]:
