@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm.bpe import encode_corpus
+from lexmill.llm.content import content_model, score_content
 from lexmill.llm.langid import canonical_label, label_languages, train, training_sample
 from lexmill.llm.packing import pack_documents, packing_report
+from lexmill.llm.reading import reading_levels
 from lexmill.llm.survivor import best_records, duplicate_key, survivor_items
 from lexmill.llm.visual import visual_forms
 from lexmill.plans.runtime import spread, table
@@ -42,6 +44,26 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return found.where(wrong).select("tag.rec_id", "seg", "lang")
 
 
+_TEXTS = ["definition", "example_sentence"]
+
+
+def p4_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every entry's category, score and the restored text that decides."""
+    entries = table(spark, sf, "entries").select("rec_id", "word_hindi", *_TEXTS, "source")
+    model = content_model(entries, "rec_id", "word_hindi", _TEXTS, table(spark, sf, "content_labels"), table(spark, sf, "blocklist"))
+    return score_content(spread(entries), "rec_id", "word_hindi", _TEXTS, model, ["source"])
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p4_scores(spark, sf).where(F.col("category") != "none").select("rec_id", "category")
+
+
+def p4_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries, and the share of them in each category, per source."""
+    share = [F.round(F.avg((F.col("category") == c).cast("double")), 6).alias(f"{c}_rate") for c in ("abuse", "hate", "sexual")]
+    return p4_scores(spark, sf).groupBy("source").agg(F.count("*").alias("entries"), *share, F.round(F.avg("score"), 6).alias("mean_score"))
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return visual_forms(table(spark, sf, "entries"), "rec_id", ["word_hindi", "head_word"])
 
@@ -65,8 +87,23 @@ def p7_report(spark: SparkSession, sf: str) -> DataFrame:
     return packing_report(p7_containers(spark, sf))
 
 
+def p8_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """Grade and level on the latent scale of every document of running text."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return reading_levels(spread(docs), "doc_id", "text", table(spark, sf, "reading_labels"))
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p8_levels(spark, sf).select("doc_id", "grade")
+
+
+def p8_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and mean level per grade."""
+    return p8_levels(spark, sf).groupBy("grade").agg(F.count("*").alias("documents"), F.round(F.avg("level"), 4).alias("mean_level"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_survivors, p2_found, p2_segments, p5_found, p6_ids, p7_containers, p7_report)}
+    return {f.__name__: f for f in (p1_found, p1_survivors, p2_found, p2_segments, p4_found, p4_scores, p4_rates, p5_found, p6_ids, p7_containers, p7_report, p8_found, p8_levels, p8_profile)}
 
 
 def oracle_sql() -> dict[str, str]:
