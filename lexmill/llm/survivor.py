@@ -41,6 +41,10 @@ def _usable_text(stripped: Column) -> Column:
     return (stripped != "") & ~F.lower(stripped).isin(*PLACEHOLDERS) & stripped.rlike("[\\p{L}\\p{N}]") & ~stripped.rlike(CUT_MARK)
 
 
+def _code(field: str) -> Column:
+    return F.lit(("definition_en", "confidence_score", "word_hindi").index(field)).cast("byte")
+
+
 def duplicate_key(c: Column) -> Column:
     """Lower case without outer blanks; blank and null give null (no group)."""
     return F.nullif(F.lower(strip(c)), F.lit(""))
@@ -63,52 +67,55 @@ def best_records(df: DataFrame, key: Column, trust: dict[str, float] | None = No
         source_trust.alias("trust"), F.coalesce(F.unix_micros("updated_at") if dict(df.dtypes)["updated_at"] == "timestamp" else F.unix_micros(F.col("updated_at").cast("timestamp")), F.lit(0)).alias("us"),
     ).where(F.col("dup_key").isNotNull())
 
-    score = F.col("confidence_score")
+    # fields by number; the stored text travels only where it differs from the normalised one
+    score = F.when((F.col("confidence_score") >= 0) & (F.col("confidence_score") <= 1) & ~F.isnan("confidence_score"), F.format_string("%.4f", F.col("confidence_score")))
+    definition = strip(F.col("definition_en"))
+    stored = F.when(definition != F.col("definition_en"), F.col("definition_en"))
     plain = F.col("word_hindi").isNotNull() & looks_plain(F.col("word_hindi"))
+    none = F.lit(None).cast("string")
     long = base.select(
         "dup_key", "trust", "us",
         F.explode(F.array(
-            F.struct(F.lit("definition_en").alias("field"), strip(F.col("definition_en")).alias("norm"), F.col("definition_en").alias("item")),
-            F.struct(F.lit("confidence_score").alias("field"), F.when((score >= 0) & (score <= 1) & ~F.isnan(score), F.format_string("%.4f", score)).alias("norm"), F.format_string("%.4f", score).alias("item")),
-            F.struct(F.lit("word_hindi").alias("field"), F.when(plain, F.col("word_hindi")).alias("norm"), F.col("word_hindi").alias("item")),
+            F.struct(_code("definition_en").alias("field"), definition.alias("norm"), stored.alias("stored")),
+            F.struct(_code("confidence_score").alias("field"), score.alias("norm"), none.alias("stored")),
+            F.struct(_code("word_hindi").alias("field"), F.when(plain, F.col("word_hindi")).alias("norm"), none.alias("stored")),
         )).alias("x"),
     ).select("dup_key", "trust", "us", "x.*").where(F.col("norm").isNotNull())
     odd = base.where(F.col("word_hindi").isNotNull() & ~plain & (F.col("word_hindi") != "")).select("dup_key", "trust", "us", F.col("word_hindi").alias("value"))
     forms = canonical_values(base.select(F.col("word_hindi").alias("value")))
-    odd = odd.join(forms, "value").select("dup_key", "trust", "us", F.lit("word_hindi").alias("field"), F.col("form").alias("norm"), F.col("form").alias("item"))
-    long = long.unionByName(odd).where((F.col("field") == "confidence_score") | _usable_text(F.col("norm")))
+    odd = odd.join(forms, "value").select("dup_key", "trust", "us", _code("word_hindi").alias("field"), F.col("form").alias("norm"), none.alias("stored"))
+    long = long.unionByName(odd).where((F.col("field") == _code("confidence_score")) | _usable_text(F.col("norm")))
 
-    # a row sent again has the same value and time: one vote
-    votes = long.groupBy("dup_key", "field", "norm", "us").agg(F.max("trust").alias("trust"), F.max("item").alias("item"))
+    # placed by group, field, value and half-life, which spreads a hot group over its time; two
+    # aggregations share this placing: rows sent again (same value and time) vote once, then votes are summed
     step_us = half_life * 1_000_000
-    votes = votes.withColumn("step", F.floor(F.col("us") / step_us))
+    placed = long.withColumn("step", F.floor(F.col("us") / step_us)).repartition("dup_key", "field", "norm", "step")
+    votes = placed.groupBy("dup_key", "field", "norm", "step", "us").agg(F.max("trust").alias("trust"), F.max("stored").alias("stored"))
     steps = votes.groupBy("dup_key", "field", "norm", "step").agg(
         F.sum(F.col("trust") * F.pow(F.lit(2.0), (F.col("us") - F.col("step") * step_us) / step_us)).alias("w"),
-        F.max(F.struct("us", "trust", "item")).alias("newest"),
+        F.max(F.struct("us", "trust", "stored")).alias("newest"),
     )
     values = steps.groupBy("dup_key", "field", "norm").agg(F.max("step").alias("last"), F.collect_list(F.struct("step", "w")).alias("ws"), F.max("newest").alias("newest"))
     summed = F.aggregate("ws", F.lit(0.0), lambda acc, x: acc + x["w"] * F.pow(F.lit(2.0), F.greatest(x["step"] - F.col("last"), F.lit(-1000)).cast("double")))
-    values = values.select("dup_key", "field", "norm", (F.log2(summed) + F.col("last")).alias("vote"), "newest")
+    values = values.select("dup_key", "field", "norm", (F.log2(summed) + F.col("last")).alias("vote"), F.col("newest.trust").alias("trust"), F.col("newest.stored").alias("stored"))
 
     # a beginning of another value sorts right before the values that begin with it
-    letters = F.when(F.col("field") == "definition_en", F.substring("norm", 1, 4)).otherwise(F.substring("norm", 1, 1))
-    texts = values.where(F.col("field") != "confidence_score").withColumn("head", letters)
+    head = F.when(F.col("field") == _code("definition_en"), F.substring("norm", 1, 4)).when(F.col("field") == _code("word_hindi"), F.substring("norm", 1, 1)).otherwise(F.col("norm"))
     after = F.lead("norm").over(Window.partitionBy("dup_key", "field", "head").orderBy("norm"))
-    texts = texts.withColumn("after", after).where(~F.coalesce(F.col("after").startswith(F.col("norm")), F.lit(False)))
-    usable = texts.drop("head", "after").unionByName(values.where(F.col("field") == "confidence_score"))
+    usable = values.withColumn("head", head).withColumn("after", after).where(~F.coalesce(F.col("after").startswith(F.col("norm")), F.lit(False)))
 
-    rank = F.struct("vote", F.col("newest.trust").alias("t"), F.length("norm").alias("n"), F.col("norm").alias("v"))
-    pick = F.col("newest.item")
-    groups = base.groupBy("dup_key").agg(F.count("*").alias("rows")).where("rows > 1").select("dup_key")
+    rank = F.struct("vote", "trust", F.length("norm").alias("n"), F.col("norm").alias("v"))
 
     def best(field: str) -> Column:
-        return F.max_by(pick, F.when(F.col("field") == field, rank)).alias(field)
+        return F.max_by(F.coalesce("stored", "norm"), F.when(F.col("field") == _code(field), rank)).alias(field)
 
     # max_by passes over null ranks, so a field without a usable value comes out null
     winners = usable.groupBy("dup_key").agg(best("word_hindi"), best("definition_en"), best("confidence_score"))
+    # the group's size and its sources (few by nature) in one pass
     named = F.when(F.col("sources").isNull(), F.array("source")).otherwise(F.col("sources"))
-    sources = base.select("dup_key", F.explode(named).alias("s")).select("dup_key", strip(F.col("s")).alias("s")).where("s <> ''").distinct().groupBy("dup_key").agg(F.sort_array(F.collect_list("s")).alias("sources"))
-    return groups.join(winners, "dup_key", "left").join(sources, "dup_key", "left").withColumn("sources", F.coalesce("sources", F.array().cast("array<string>")))
+    rows = base.select("dup_key", F.posexplode_outer(named).alias("pos", "s"))
+    groups = rows.groupBy("dup_key").agg(F.sum(F.when(F.coalesce("pos", F.lit(0)) == 0, 1).otherwise(0)).alias("rows"), F.sort_array(F.collect_set(F.nullif(strip(F.col("s")), F.lit("")))).alias("sources"))
+    return groups.where("rows > 1").join(winners, "dup_key", "left").select("dup_key", "word_hindi", "definition_en", "confidence_score", "sources")
 
 
 def survivor_items(records: DataFrame) -> DataFrame:
