@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.plans.runtime import bounded_sample
+
 #: Languages told apart.
 LANGS = ("en", "hi", "hi-Latn", "mr")
 #: Rows of the training sample.
@@ -321,7 +323,8 @@ def stretches(scores: list[np.ndarray], costs: list[list[float]], min_run: int =
 
 def training_sample(df: DataFrame, text: str, label: str, sample_rows: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
     """At most ``sample_rows`` labelled texts, by hash order."""
-    rows = df.select(F.col(text).alias("t"), canonical_label(F.col(label)).alias("y")).where(F.col("y").isin(*LANGS, "mixed") & F.col("t").isNotNull()).orderBy(F.xxhash64("t", "y")).limit(sample_rows)
+    rows = bounded_sample(df.select(F.col(text).alias("t"), F.col(label).alias("y")), ["t", "y"], sample_rows)
+    rows = rows.select("t", canonical_label(F.col("y")).alias("y")).where(F.col("y").isin(*LANGS, "mixed") & F.col("t").isNotNull())
     return [(r.t, r.y) for r in rows.collect()]
 
 
