@@ -23,11 +23,10 @@ def indel_ratio(a: str, b: str) -> float:
     return 200.0 * (mask & ~v).bit_count() / (len(a) + len(b))
 
 
-@pandas_udf("double")
-def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else indel_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 def ratio(a: Column, b: Column) -> Column:
     """0..100; null if either is null."""
-    return _ratio(a, b)
+    return pandas_udf(_ratios, "double")(a, b)

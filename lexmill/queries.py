@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.functions import score, text, translit
+from lexmill.operators import dedup, graph, lookup, merge, safety, search, stats
 from lexmill.operators.packed import split_packed
 from lexmill.plans.runtime import spread, table
+from lexmill.sinks import writers
+from lexmill.sources import dictionaries
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -36,3 +40,543 @@ def p3_values(spark: SparkSession, sf: str) -> DataFrame:
     """Every value of the packed fields, with the parser's flags."""
     entries = table(spark, sf, "entries").select("rec_id", "synonyms", "tags", "toxicity_flags")
     return split_packed(spread(entries), "rec_id", ["synonyms", "tags", "toxicity_flags"], ["toxicity_flags"])
+
+
+# --- scalar functions -------------------------------------------------------------
+def _entries(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    df = table(spark, sf, "entries")
+    return df.select(*columns) if columns else df
+
+
+def _long(c) -> object:
+    return c.cast("long")
+
+
+_SQ = "trim(regexp_replace(lower({c}), '\\s+', ' ', 'g'))"  # squashed lower case
+_STRIP = "regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+_SAFE = "coalesce(case when isnan(severity_score) then 0 else severity_score end, 0) < 0.5"
+_CONF = "coalesce(case when isnan(confidence_score) then 0 else confidence_score end, 0)"
+_LANG = "case when regexp_matches(coalesce({c},''), '[ऀ-ॿ]') and regexp_matches({c}, '[A-Za-z]') then 'mixed' when regexp_matches(coalesce({c},''), '[ऀ-ॿ]') then 'hi' else 'en' end"
+_FOLD = "regexp_replace(translate(lower(" + _STRIP + "), 'āīūēōṛṇṣḥṁ', 'aiueornshm'), '[^a-z0-9\\s]', '', 'g')"
+
+
+def _sql_hindi(c: str) -> str:
+    for whole, base in text.NUKTA.items():
+        c = f"replace({c}, '{whole}', '{base}')"
+    return _STRIP.format(c="regexp_replace(" + _STRIP.format(c=f"replace({c}, '़', '')") + ", '्+$', '')")
+
+
+_HINDI = _sql_hindi("coalesce(word_hindi, '')")
+_HASH = "md5(" + _SQ.format(c="coalesce(definition, '')") + ")"
+_QUALITY = f"(case {_LANG.format(c='definition')} when 'en' then 200 when 'mixed' then 100 else 0 end + length(coalesce(definition,'')) + case when source='WordNet' then 100 else 0 end + {{ex}} - case when coalesce(definition,'')='' then 500 else 0 end)::BIGINT"
+
+
+@query(f"select {_LANG.format(c='definition')} lang, regexp_matches(coalesce(definition,''), '[ऀ-ॿ]') devanagari, count(*)::BIGINT n from entries group by all")
+def c01_script_class(spark: SparkSession, sf: str) -> DataFrame:
+    e = _entries(spark, sf, "definition")
+    return e.groupBy(text.definition_lang(F.col("definition")).alias("lang"), text.has_devanagari(F.col("definition")).alias("devanagari")).agg(F.count("*").alias("n"))
+
+
+@query(f"select rec_id, {_sql_hindi('word_hindi')} hindi from entries")
+def c03_norm_hindi(spark: SparkSession, sf: str) -> DataFrame:
+    return _entries(spark, sf).select("rec_id", text.normalize_hindi(F.col("word_hindi")).alias("hindi"))
+
+
+@query(r"select rec_id, trim(regexp_replace(regexp_replace(lower(word_hinglish_roman), '[^\p{L}\p{N}_\s]', '', 'g'), '\s+', ' ', 'g')) roman from entries")
+def c04_norm_roman(spark: SparkSession, sf: str) -> DataFrame:
+    return _entries(spark, sf).select("rec_id", text.normalize_roman(F.col("word_hinglish_roman")).alias("roman"))
+
+
+@query("select rec_id, md5(" + _SQ.format(c="definition") + ") h from entries")
+def c05_def_hash(spark: SparkSession, sf: str) -> DataFrame:
+    return _entries(spark, sf).select("rec_id", text.definition_hash(F.col("definition")).alias("h"))
+
+
+@query(f"select count(*)::BIGINT pairs, count(*) filter (where {_sql_hindi('word_hindi')} = {_sql_hindi('head_word')})::BIGINT variants from entries where word_hindi is not null and head_word is not null")
+def c06_variants(spark: SparkSession, sf: str) -> DataFrame:
+    e = _entries(spark, sf, "word_hindi", "head_word").where("word_hindi is not null and head_word is not null")
+    return e.agg(F.count("*").alias("pairs"), F.count_if(text.is_variant(F.col("word_hindi"), F.col("head_word"))).alias("variants"))
+
+
+@query()
+def c08_translit(spark: SparkSession, sf: str) -> DataFrame:
+    """Headwords by rule beside the spelling of the override table."""
+    return table(spark, sf, "overrides").select("word_hindi", "roman", translit.romanize(F.col("word_hindi")).alias("by_rule"), translit.transliterate(F.col("word_hindi"), "no such engine").alias("by_fallback"))
+
+
+@query("select rec_id, list_aggregate(list_transform(string_split(word_hinglish_roman, ' '), lambda w: case when lower(w) in ('vakeel','vyapaari','vyaapaar') then w else substr(w,1,1) || replace(substr(w,2), 'v', 'w') end), 'string_agg', ' ') r from entries where word_hinglish_roman is not null")
+def c09_v_to_w(spark: SparkSession, sf: str) -> DataFrame:
+    return _entries(spark, sf).where("word_hinglish_roman is not null").select("rec_id", text.v_to_w(F.col("word_hinglish_roman")).alias("r"))
+
+
+@query()
+def c10_iso_roman(spark: SparkSession, sf: str) -> DataFrame:
+    """Headwords in scholarly Latin, in common spelling."""
+    return _entries(spark, sf).where(F.col("word_hindi").rlike("[a-zāīūśṭḍṇ]")).select("rec_id", "word_hindi", text.iso_to_common(F.col("word_hindi")).alias("roman"))
+
+
+@query("select rec_id, " + _FOLD.format(c="definition") + " t from entries")
+def c12_norm_text(spark: SparkSession, sf: str) -> DataFrame:
+    return _entries(spark, sf).select("rec_id", text.normalize_safety(F.col("definition")).alias("t"))
+
+
+_TERMS = "select distinct trim(" + _FOLD.format(c="term") + ") term from blocklist where trim(" + _FOLD.format(c="term") + ") <> ''"
+
+
+@query(f"with t as ({_TERMS}) select rec_id, coalesce(list_has_any(string_split_regex(trim({_FOLD.format(c='word_hinglish_roman')}), '\\s+'), (select list(term) from t)), false) profane from entries")
+def c13_token_flag(spark: SparkSession, sf: str) -> DataFrame:
+    flagged = safety.flag_entries(_entries(spark, sf, "rec_id", "word_hinglish_roman"), table(spark, sf, "blocklist"))
+    return flagged.select("rec_id", F.col("profanity").alias("profane"))
+
+
+@query("select rec_id, lower(" + _STRIP.format(c="word_hinglish_roman") + ") w, case when c >= 1.0 then 255 when c <= 0.30::DOUBLE then 1 else trunc(1 + (c - 0.3::DOUBLE) / 0.7::DOUBLE * 254) end::BIGINT freq from (select *, confidence_score c from entries) where c between 0 and 1")
+def c15_freq(spark: SparkSession, sf: str) -> DataFrame:
+    return _entries(spark, sf).where("confidence_score between 0 and 1").select("rec_id", text.keyboard_word(F.col("word_hinglish_roman")).alias("w"), score.frequency(F.col("confidence_score")).alias("freq"))
+
+
+@query(f"select rec_id, coalesce(len(list_filter(string_split_regex({_STRIP.format(c='definition')}, '\\s+'), lambda t: t <> '')), -1)::BIGINT n from entries")
+def c16_query_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return _entries(spark, sf).select("rec_id", F.coalesce(F.size(text.query_tokens(F.col("definition"))).cast("long"), F.lit(-1)).alias("n"))
+
+
+@query("select rec_id, coalesce(contains(lower(tags), 'loan w'), false) literal, coalesce(tags ilike '%of_persons%', false) pattern, coalesce(contains(lower(tags), 'of_persons'), false) escaped from entries")
+def c18_like_literal(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col("tags")
+    return _entries(spark, sf).select("rec_id", text.contains_literal(c, "Loan W").alias("literal"), F.coalesce(c.ilike("%of_persons%"), F.lit(False)).alias("pattern"), text.contains_literal(c, "of_persons").alias("escaped"))
+
+
+_DIFF = """with o as (select word_hindi, min(roman) e from overrides where trim(roman) <> '' group by 1),
+p as (select lower(trim(coalesce(word_hinglish_roman,''))) a, e from entries join o using (word_hindi)),
+d as (select a, e, list_filter(list_transform(range(1, least(length(a), length(e)) + 1), lambda i: case when substr(a, i, 1) <> substr(e, i, 1) then substr(a, i, 1) || substr(e, i, 1) else '' end), lambda x: x <> '') ds from p),
+k as (select *, len(list_filter(ds, lambda x: x in ('vw','wv'))) > 0 vw, len(list_filter(ds, lambda x: regexp_matches(x, '^[aeiou][aeiou]$'))) > 0 vo from d)
+select case when length(a) = length(e) then case when len(ds) = 0 then 'none' when vw and vo then 'v_w_and_vowel' when vw then 'v_w' when vo then 'vowel_length' else 'other_consonant' end
+ when rtrim(a, 'a') = rtrim(e, 'a') then 'trailing_schwa' when length(a) < length(e) - 1 then 'missing_chars' when length(a) > length(e) + 1 then 'extra_chars' else 'length_mismatch' end kind, count(*)::BIGINT n from k group by 1"""
+
+
+@query(_DIFF)
+def c21_diff_class(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.romanization_audit(_entries(spark, sf, "word_hindi", "word_hinglish_roman"), table(spark, sf, "overrides"))
+
+
+@query("select rec_id, " + _QUALITY.format(ex="case when coalesce(example_sentence,'') <> '' then 50 else 0 end") + " q from entries")
+def c22_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return _entries(spark, sf).select("rec_id", score.quality(F.col("definition"), F.col("source"), F.col("example_sentence")).alias("q"))
+
+
+@query("""select rec_id, round(least(greatest(case when sev >= 0.5 then least(s, 0.3::DOUBLE) else s end, 0), 1), 6) c from (select rec_id, coalesce(case when isnan(severity_score) then 0 else severity_score end, 0) sev,
+ (case source when 'WordNet' then 0.95::DOUBLE when 'Wiktionary' then 0.85::DOUBLE else 0.70::DOUBLE end) * (case when regexp_matches(coalesce(word_hindi,''), '[ऀ-ॿ]') then 0.75::DOUBLE else 0.92::DOUBLE end)
+ * (1.0::DOUBLE + 0.03::DOUBLE * (greatest(len(list_distinct(coalesce(sources, [source]))), 1) - 1))
+ * (case when coalesce(definition_hi,'') <> '' and coalesce(definition_en,'') <> '' then 1.05::DOUBLE when coalesce(definition_en,'') <> '' then 1.03::DOUBLE when coalesce(definition_hi,'') <> '' and coalesce(example_sentence,'') <> '' then 1.02::DOUBLE else 1.0::DOUBLE end) s from entries)""")
+def c23_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    filled = lambda c: F.coalesce(c, F.lit("")) != ""
+    method = F.when(text.has_devanagari(F.col("word_hindi")), "rule").otherwise("iso")
+    c = score.confidence(F.col("source"), method, stats.n_sources(), filled("definition_hi"), filled("definition_en"), filled("example_sentence"), stats.severity())
+    return _entries(spark, sf).select("rec_id", F.round(c, 6).alias("c"))
+
+
+@query("select doc_id, least((contains(t,'hate')::INT + contains(t,'kill')::INT + contains(t,'die')::INT + contains(t,'stupid')::INT + contains(t,'idiot')::INT) * 0.3::DOUBLE, 1.0) s from (select doc_id, lower(coalesce(text,'')) t from documents)")
+def c25_heuristic(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("doc_id", score.heuristic_toxicity(F.col("text"), ("hate", "kill", "die", "stupid", "idiot")).alias("s"))
+
+
+@query("select rec_id, coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(all_examples, []), case when coalesce(example_sentence,'') = '' then [] else [example_sentence] end))), '|'), '') examples from entries")
+def c27_ordered_union(spark: SparkSession, sf: str) -> DataFrame:
+    empty = F.array().cast("array<string>")
+    own = F.when(F.coalesce("example_sentence", F.lit("")) == "", empty).otherwise(F.array("example_sentence"))
+    return _entries(spark, sf).select("rec_id", F.array_join(F.array_sort(F.array_union(F.coalesce("all_examples", empty), own)), "|").alias("examples"))
+
+
+@query("select rec_id, coalesce(nullif(definition_en,''), nullif(definition_hinglish,''), nullif(definition,''), '') p, regexp_replace(definition, '(market)', '<mark>\\1</mark>', 'gi') h from entries")
+def c28_preview(spark: SparkSession, sf: str) -> DataFrame:
+    return _entries(spark, sf).select("rec_id", text.preview(F.col("definition_en"), F.col("definition_hinglish"), F.col("definition")).alias("p"), text.highlight(F.col("definition"), "Market").alias("h"))
+
+
+# --- sources ----------------------------------------------------------------------
+@query("""select synset_id::BIGINT synset_id, array_to_string(list_filter(list_transform(words, lambda w: trim(w)), lambda w: w <> ''), '|') words, coalesce(gloss,'') gloss, len(coalesce(examples, []))::BIGINT n_examples, trim(pos) pos
+ from synsets where coalesce(trim(pos), '') <> ''""")
+def a01_synset_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Synsets written as tab-separated lines and parsed again."""
+    s = table(spark, sf, "synsets").where(F.coalesce(F.trim("pos"), F.lit("")) != "")
+    quoted = F.array_join(F.transform(F.coalesce("examples", F.array().cast("array<string>")), lambda x: F.concat(F.lit('"'), x, F.lit('"'))), "  /  ")
+    line = F.concat_ws("\t", F.col("synset_id").cast("string"), F.array_join("words", ","), F.concat(F.coalesce("gloss", F.lit("")), F.when(F.size(F.coalesce("examples", F.array())) > 0, F.concat(F.lit(":"), quoted)).otherwise("")), F.col("pos"))
+    p = dictionaries.parse_synsets(s.select(line.alias("value")))
+    return p.select(_long(F.col("synset_id")).alias("synset_id"), F.array_join("words", "|").alias("words"), "gloss", _long(F.size("examples")).alias("n_examples"), "pos")
+
+
+@query("select synset_id::BIGINT synset_id, (i - 1)::BIGINT place, words[i] word, words[1] head from (select synset_id, words, unnest(range(1, len(words) + 1)) i from synsets)")
+def a03_explode(spark: SparkSession, sf: str) -> DataFrame:
+    e = dictionaries.synset_entries(table(spark, sf, "synsets"))
+    return e.select(_long(F.col("synset_id")).alias("synset_id"), _long(F.col("pos_in_synset")).alias("place"), F.col("word_hindi").alias("word"), F.col("head_word").alias("head"))
+
+
+_LINES = "(select line_no, line::JSON j from wiktionary_lines where json_valid(line) and trim(line) <> '')"
+
+
+@query(f"select line_no, j->>'word' word, coalesce(len(j->'$.senses[*]'), 0)::BIGINT senses from {_LINES} where j->>'lang_code' = 'hi' and not list_contains(json_keys(j), 'redirect')")
+def a05_json_filter(spark: SparkSession, sf: str) -> DataFrame:
+    w = dictionaries.parse_dictionary_lines(table(spark, sf, "wiktionary_lines"))
+    return w.select("line_no", "word", _long(F.greatest(F.coalesce(F.size("senses"), F.lit(0)), F.lit(0))).alias("senses"))
+
+
+@query(f"""select line_no, (i - 1)::BIGINT place, d definition, len(coalesce(s->'$.synonyms[*]', []))::BIGINT synonyms from (select line_no, i, s, coalesce(s->>'$.glosses[0]', regexp_replace(s->>'$.raw_glosses[0]', '\\([^)]*\\)\\s*', '', 'g'), '') d from
+ (select line_no, i, (j->'$.senses[*]')[i] s from (select line_no, j, unnest(range(1, len(j->'$.senses[*]') + 1)) i from {_LINES} where j->>'lang_code' = 'hi' and not list_contains(json_keys(j), 'redirect')))) where d <> ''""")
+def a10_senses(spark: SparkSession, sf: str) -> DataFrame:
+    e = dictionaries.dictionary_entries(dictionaries.parse_dictionary_lines(table(spark, sf, "wiktionary_lines")))
+    return e.select("line_no", F.element_at(F.split("id", "-"), -1).cast("long").alias("place"), "definition", _long(F.greatest(F.coalesce(F.size("synonyms"), F.lit(0)), F.lit(0))).alias("synonyms"))
+
+
+@query()
+def a08_roman_and_example(spark: SparkSession, sf: str) -> DataFrame:
+    """Romanization, example and id of every sense."""
+    e = dictionaries.dictionary_entries(dictionaries.parse_dictionary_lines(table(spark, sf, "wiktionary_lines")))
+    return e.select("line_no", "id", "word_hinglish_roman", "example_sentence")
+
+
+@query("select coalesce(trim(word_hindi), '') word_hindi, coalesce(trim(roman), '') roman from overrides where trim(coalesce(word_hindi, '')) <> ''")
+def a11_alias_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """A table whose columns have other names, under the lexicon's."""
+    odd = table(spark, sf, "overrides").select(F.col("word_hindi").alias(" Hindi "), F.col("roman").alias("ROMAN"))
+    return dictionaries.aliased(odd).select("word_hindi", F.col("word_hinglish_roman").alias("roman"))
+
+
+@query(_TERMS)
+def a15_terms(spark: SparkSession, sf: str) -> DataFrame:
+    return safety.term_set(table(spark, sf, "blocklist"))
+
+
+# --- joins ------------------------------------------------------------------------
+_KEYS = f"select *, {_HINDI} h, {_HASH} d from entries"
+
+
+@query(f"""with k as ({_KEYS}), p as (select * from k where source = 'WordNet'), s as (select * from k where source <> 'WordNet'),
+f as (select h, d, min(rec_id) rec_id from p group by 1, 2), g as (select h, d, count(*) n, arg_min(example_sentence, rec_id) filter (where coalesce(example_sentence,'') <> '') x from s group by 1, 2)
+select p.rec_id ord, 'primary' origin, coalesce(g.n, 0)::BIGINT n_merged, case when coalesce(p.example_sentence,'') <> '' then p.example_sentence else coalesce(g.x, '') end example_sentence from p left join f on f.rec_id = p.rec_id left join g on f.h = g.h and f.d = g.d
+union all select rec_id, 'secondary', 0::BIGINT, coalesce(example_sentence,'') from s where not exists (select 1 from f where f.h = s.h and f.d = s.d)""")
+def e01_merge_first_match(spark: SparkSession, sf: str) -> DataFrame:
+    e = _entries(spark, sf)
+    return merge.merge_dictionaries(e.where("source = 'WordNet'"), e.where("source <> 'WordNet'"))
+
+
+@query()
+def e02_fuzzy_best(spark: SparkSession, sf: str) -> DataFrame:
+    e = _entries(spark, sf, "rec_id", "word_hindi", "word_hinglish_roman", "source")
+    return merge.fuzzy_best(e.where("source like 'supplemental%'"), e.where("source = 'WordNet'"))
+
+
+@query(f"""with o as (select word_hindi w, min(roman) r from overrides where trim(roman) <> '' group by 1)
+select rec_id, case when r is not null then 'common_word' when regexp_matches(coalesce(word_hindi,''), '[ऀ-ॿ]') then 'rule' when coalesce(trim(word_hinglish_roman),'') <> '' and not regexp_matches(word_hinglish_roman, '[ऀ-ॿ]') then 'iso' else 'rule' end how, r from entries left join o on w = word_hindi""")
+def e03_override_join(spark: SparkSession, sf: str) -> DataFrame:
+    out = lookup.romanize_headwords(_entries(spark, sf, "rec_id", "word_hindi", "word_hinglish_roman"), table(spark, sf, "overrides"))
+    return out.select("rec_id", F.col("_romanization_method").alias("how"), F.when(F.col("_romanization_method") == "common_word", F.col("word_hinglish_roman")).alias("r"))
+
+
+@query()
+def p01_transliterate_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Definitions and examples in Latin letters."""
+    return lookup.romanize_texts(_entries(spark, sf, "rec_id", "definition", "example_sentence")).select("rec_id", "definition_hinglish", "example_hinglish")
+
+
+_MEM = "select synset, id, min(rec_id) ord, min(pos) pos from (select id, rec_id, synsets[i] synset, i - 1 pos from (select id, rec_id, synsets, unnest(range(1, len(synsets) + 1)) i from entries)) group by 1, 2"
+
+
+@query(f"""with m as ({_MEM}), p as (select a.id entry_id, b.id related_entry_id, min((a.pos, b.ord)) o from m a join m b using (synset) where a.id <> b.id group by 1, 2)
+select entry_id, related_entry_id, rn::BIGINT rank from (select *, row_number() over (partition by entry_id order by o, related_entry_id) rn from p) where rn <= 20""")
+def e05_same_synset(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.same_synset(_entries(spark, sf, "id", "rec_id", "synsets"))
+
+
+@query(f"""with m as ({_MEM}), e as (select distinct 'iwn-' || child_synset child, 'iwn-' || parent_synset parent from hypernymy where child_synset is not null and parent_synset is not null),
+b as (select child synset, parent other, 'broader' relation_type from e union all select parent, child, 'narrower' from e),
+p as (select a.id entry_id, relation_type, z.id related_entry_id, min(z.ord) o from m a join b using (synset) join m z on z.synset = b.other where a.id <> z.id group by all)
+select entry_id, related_entry_id, relation_type, rn::BIGINT rank from (select *, row_number() over (partition by entry_id, relation_type order by o, related_entry_id) rn from p) where rn <= 20""")
+def e06_broader_narrower(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.broader_narrower(_entries(spark, sf, "id", "rec_id", "synsets"), table(spark, sf, "hypernymy"))
+
+
+_EDGES = "select distinct entry_id, related_entry_id, lower(trim(relation_type)) relation_type from related_words where entry_id <> related_entry_id and entry_id in (select id from entries) and related_entry_id in (select id from entries)"
+
+
+@query(f"""with c as ({_EDGES}), n as (select id, min(coalesce(word_hinglish_roman,'')) roman from entries group by 1)
+select entry_id, relation_type, related_entry_id, roman, rn::BIGINT rank from (select c.*, roman, row_number() over (partition by entry_id, relation_type order by roman, related_entry_id) rn from c join n on n.id = related_entry_id) where rn <= 20""")
+def e08_related_topk(spark: SparkSession, sf: str) -> DataFrame:
+    e = _entries(spark, sf, "id", "word_hinglish_roman")
+    return graph.related_top(graph.clean_relations(table(spark, sf, "related_words"), e), e)
+
+
+@query(_EDGES)
+def e09_integrity(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.clean_relations(table(spark, sf, "related_words"), _entries(spark, sf, "id"))
+
+
+@query("select distinct x id from (select unnest([entry_id, related_entry_id]) x from related_words) where x is not null and x not in (select id from entries)")
+def e10_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.orphans(table(spark, sf, "related_words"), _entries(spark, sf, "id"))
+
+
+@query(f"with c as ({_EDGES}) select * from c where not exists (select 1 from c r where r.entry_id = c.related_entry_id and r.related_entry_id = c.entry_id and r.relation_type = case c.relation_type when 'broader' then 'narrower' when 'narrower' then 'broader' else c.relation_type end)")
+def e11_one_sided(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.one_sided(graph.clean_relations(table(spark, sf, "related_words"), _entries(spark, sf, "id")))
+
+
+# --- aggregations -----------------------------------------------------------------
+_BUCKET = "floor(confidence_score * 100 + 1e-9)::BIGINT"
+
+
+@query(f"""with x as (select source, coalesce(part_of_speech,'') pos, {_LANG.format(c='definition')} lang, case when confidence_score between 0 and 1 then {_BUCKET}::VARCHAR else 'none' end bucket, case when len(list_distinct(coalesce(sources, [source]))) > 1 then 'true' else 'false' end multi from entries)
+select metric, value, count(*)::BIGINT n from (select 'source' metric, source as value from x union all select 'pos', pos from x union all select 'lang', lang from x union all select 'confidence', bucket from x union all select 'multi_source', multi from x) group by all""")
+def f01_meta_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.meta(_entries(spark, sf))
+
+
+@query(f"select 'total' metric, count(*)::BIGINT n from entries union all select 'safe', count(*) filter (where {_SAFE}) from entries union all select 'toxic', count(*) filter (where not {_SAFE}) from entries union all select 'relations', count(*) from related_words")
+def f02_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.stats(_entries(spark, sf), table(spark, sf, "related_words"))
+
+
+@query("select part_of_speech pos, count(*)::BIGINT n from entries where coalesce(part_of_speech,'') <> '' group by 1 order by 2 desc, 1 limit 15")
+def f02_top_pos(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.top_pos(_entries(spark, sf))
+
+
+@query("""select roman, hindi, tier::INT tier from (select *, case when lower(roman) = 'bha' then 0 when lower(hindi) = 'bha' then 1 when starts_with(lower(roman), 'bha') then 2 else 3 end tier from
+ (select word_hinglish_roman roman, coalesce(arg_min(coalesce(word_hindi,''), rec_id), '') hindi from entries where (starts_with(lower(coalesce(word_hinglish_roman,'')), 'bha') or starts_with(lower(coalesce(word_hindi,'')), 'bha')) and coalesce(word_hinglish_roman,'') <> '' group by 1)) order by tier, length(roman), roman limit 8""")
+def f03_suggest(spark: SparkSession, sf: str) -> DataFrame:
+    return search.suggest(_entries(spark, sf), "Bha")
+
+
+@query(f"""select bucket, count(*)::BIGINT n, round(avg(length(d)), 6) avg_definition, round(avg((coalesce(example_sentence,'') <> '')::INT), 6) with_example, round(avg(regexp_matches(d, '[ऀ-ॿ]')::INT), 6) with_devanagari,
+ round(avg((coalesce(definition_hi,'') <> '' and coalesce(definition_en,'') <> '')::INT), 6) complete from (select *, {_BUCKET} bucket, coalesce(definition,'') d from entries where confidence_score between 0 and 1) group by 1""")
+def f05_conf_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.confidence_audit(_entries(spark, sf))
+
+
+@query(f"select bucket, source, n, rn::BIGINT rank from (select *, row_number() over (partition by bucket order by n desc, source) rn from (select {_BUCKET} bucket, source, count(*)::BIGINT n from entries where confidence_score between 0 and 1 group by 1, 2)) where rn <= 5")
+def f05_bucket_sources(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.bucket_sources(_entries(spark, sf))
+
+
+@query("select floor(coalesce(case when isnan(severity_score) then 0 else severity_score end, 0) * 10 + 1e-9)::BIGINT tenth, count(*)::BIGINT n from entries group by 1")
+def f06_severity(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.severity_histogram(_entries(spark, sf))
+
+
+@query(f"""with t as ({_TERMS}), w as (select rec_id, trim({_FOLD.format(c="coalesce(word_hinglish_roman,'')")}) head, unnest(list_distinct(string_split_regex(trim({_FOLD.format(c="concat_ws(' ', definition, example_sentence)")}), '\\s+'))) term from entries where {_SAFE})
+select rec_id, min(w.term) term from w join t on w.term = t.term where w.term <> head group by 1""")
+def f06_false_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.false_negatives(_entries(spark, sf), table(spark, sf, "blocklist"))
+
+
+@query(f"""with t as ({_TERMS}) select term, n from (select trim({_FOLD.format(c="coalesce(word_hinglish_roman,'')")}) term, count(*)::BIGINT n from entries where profanity group by 1) where term <> '' and n >= 2 and term not in (select term from t)""")
+def f06_suggested_terms(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.suggested_terms(_entries(spark, sf), table(spark, sf, "blocklist"), 2)
+
+
+@query("select count(*) filter (where trim(r) = '')::BIGINT missing, count(*) filter (where regexp_matches(r, '[À-ɏ\\x{300}-\\x{36f}]'))::BIGINT accented, count(*) filter (where regexp_matches(r, '[ऀ-ॿ]'))::BIGINT devanagari from (select coalesce(word_hinglish_roman,'') r from entries)")
+def f07_roman_health(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.roman_health(_entries(spark, sf))
+
+
+# the fold, row by row
+_FOLD_SQL = f"""with recursive b as (select word_hinglish_roman roman, rec_id ord, coalesce(definition,'') d, coalesce(word_hindi,'') w, coalesce(example_sentence,'') ex, coalesce(part_of_speech,'') pos, {_QUALITY.format(ex='0')} u,
+ row_number() over (partition by word_hinglish_roman order by rec_id) i from entries where coalesce(word_hinglish_roman,'') <> ''),
+f as (select roman, i, ord leader, u, ex, pos, d, w, null::VARCHAR hi, null::VARCHAR en, 1 n from b where i = 1
+ union all select f.roman, b.i, case when win then b.ord else f.leader end, case when win then b.u else f.u end, case when win then coalesce(nullif(b.ex,''), f.ex) else coalesce(nullif(f.ex,''), b.ex) end, case when win then coalesce(nullif(b.pos,''), f.pos) else coalesce(nullif(f.pos,''), b.pos) end,
+ case when win then b.d else f.d end, case when win then b.w else f.w end,
+ case when win then {{hi_win}} else coalesce(f.hi, {{hi_stay}}) end, case when win then {{en_win}} else coalesce(f.en, {{en_stay}}) end, f.n + 1
+ from f join (select * from b) b on b.roman = f.roman and b.i = f.i + 1, lateral (select b.u + case when b.ex <> '' then 50 else 0 end > f.u + case when f.ex <> '' then 50 else 0 end win))
+select f.roman, leader, n::BIGINT n_rows, {_LANG.format(c='d')} definition_lang, ex example_sentence, pos part_of_speech,
+ coalesce(hi, case when regexp_matches(d, '[ऀ-ॿ]') then d end) definition_hi, coalesce(en, case when {_LANG.format(c='d')} in ('en','mixed') then d end) definition_en, s.sources
+ from f join (select roman, max(i) i from f group by 1) l using (roman, i) left join (select word_hinglish_roman roman, array_to_string(list_sort(list_distinct(flatten(list(coalesce(sources, [source]))))), '|') sources from entries group by 1) s using (roman)"""
+
+
+def _first_of(own: str, other: str, rx: str, word: str | None = None) -> str:
+    return f"case when regexp_matches({own}, '{rx}') then {own} when regexp_matches({other}, '{rx}') then {other}" + (f" when regexp_matches({word}, '{rx}') then {word}" if word else "") + " end"
+
+
+_DEV, _LAT = "[ऀ-ॿ]", "[A-Za-z]"
+_FOLD_SQL = _FOLD_SQL.format(hi_win=_first_of("b.d", "f.d", _DEV, "b.w"), hi_stay=_first_of("f.d", "b.d", _DEV, "f.w"), en_win=_first_of("b.d", "f.d", _LAT), en_stay=_first_of("f.d", "b.d", _LAT))
+
+
+def _dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.dedup_by_roman(_entries(spark, sf))
+
+
+@query(_FOLD_SQL)
+def f08_roman_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return _dedup(spark, sf).select("roman", "leader", "n_rows", "definition_lang", "example_sentence", "part_of_speech", "definition_hi", "definition_en", F.array_join("sources", "|").alias("sources"))
+
+
+@query("select word_hinglish_roman roman, x item, min(rec_id) ord from (select word_hinglish_roman, rec_id, unnest(synsets) x from entries) where coalesce(word_hinglish_roman,'') <> '' and coalesce(x,'') <> '' group by 1, 2")
+def f08_merged_synsets(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.merged_list(_entries(spark, sf), "synsets")
+
+
+_DEDUPED = f"(select *, string_split(sources, '|') ss, len(string_split(sources, '|')) > 1 merged from ({_FOLD_SQL}))"
+
+
+@query(f"""select count(*)::BIGINT total, count(*) filter (where merged)::BIGINT merged, count(*) filter (where merged and hi)::BIGINT with_hi, count(*) filter (where merged and en)::BIGINT with_en, count(*) filter (where merged and hi and en)::BIGINT with_both,
+ count(*) filter (where merged and hi and en and definition_hi = definition_en)::BIGINT identical from (select *, coalesce(definition_hi,'') <> '' hi, coalesce(definition_en,'') <> '' en from {_DEDUPED})""")
+def f04_merge_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.merge_audit(_dedup(spark, sf)).drop("thin", "thin_capped")
+
+
+@query(f"select replace(sources, '|', ', ') sources, count(*)::BIGINT n from {_DEDUPED} where merged group by 1")
+def f04_source_sets(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.source_sets(_dedup(spark, sf))
+
+
+@query(f"""select h hindi, d def_hash, min(rec_id) leader, count(*)::BIGINT n_rows, max(confidence_score) confidence, coalesce(arg_min(example_sentence, rec_id) filter (where coalesce(example_sentence,'') <> ''), '') example_sentence from ({_KEYS}) group by 1, 2""")
+def f09_hash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.dedup_by_definition(_entries(spark, sf)).drop("sources")
+
+
+@query(f"""select w word, max(f)::BIGINT freq, 'hi_Latn' locale, arg_min(pos, rec_id) pos, min(rec_id) ord from (select rec_id, coalesce(part_of_speech,'') pos, lower({_STRIP.format(c="coalesce(word_hinglish_roman,'')")}) w,
+ case when {_CONF} >= 1.0 then 255 when {_CONF} <= 0.30::DOUBLE then 1 else trunc(1 + ({_CONF} - 0.3::DOUBLE) / 0.7::DOUBLE * 254) end f from entries where {_SAFE}) where w <> '' and not regexp_matches(w, '[ऀ-ॿ]') group by 1""")
+def f10_keyboard_dict(spark: SparkSession, sf: str) -> DataFrame:
+    return writers.keyboard_rows(_entries(spark, sf))
+
+
+_TIER = """(select *, case when lower(coalesce(word_hindi,'')) = '{q}' then 100 when lower(coalesce(word_hinglish_roman,'')) = '{q}' then 95 when contains(lower(word_hindi), '{q}') then 80 when contains(lower(word_hinglish_roman), '{q}') then 75 when contains(lower(definition), '{q}') then 50 end tier from entries)"""
+_ORDER = f"order by tier desc, {_CONF} desc, rec_id"
+
+
+@query(f"with p as (select * from {_TIER.format(q='market')} where tier is not null {_ORDER} limit 100) select 'pos' facet, part_of_speech as value, count(*)::BIGINT n from p where coalesce(part_of_speech,'') <> '' group by 2 union all select 'source', source, count(*)::BIGINT from p group by 2")
+def f11_facets(spark: SparkSession, sf: str) -> DataFrame:
+    return search.facets(search.tier_search(_entries(spark, sf), "market", 100))
+
+
+@query(f"with e as ({_EDGES}) select count(distinct entry_id)::BIGINT entries, count(*)::BIGINT links from e")
+def f12_enrichment_totals(spark: SparkSession, sf: str) -> DataFrame:
+    e = graph.clean_relations(table(spark, sf, "related_words"), _entries(spark, sf, "id"))
+    return e.groupBy("entry_id").agg(F.count("*").alias("n")).agg(F.count("*").alias("entries"), F.sum("n").alias("links"))
+
+
+@query("select key, arg_max(id, rec_id) id, max(rec_id) ord from (select id, rec_id, unnest(list_distinct([lower(coalesce(word_hindi,'')), lower(coalesce(word_hinglish_roman,''))])) key from entries) where key <> '' group by 1")
+def f13_hash_index(spark: SparkSession, sf: str) -> DataFrame:
+    return search.hash_index(_entries(spark, sf))
+
+
+@query("""with p as (select word_hinglish_roman a, lower(word_hinglish_roman) e from entries where word_hinglish_roman is not null), k as (select string_split(a,' ') a, string_split(e,' ') e from p)
+select r as "right", words, round(r / words, 6) accuracy from (select sum(len(list_filter(range(1, len(e) + 1), lambda i: a[i] = e[i])))::BIGINT r, sum(len(e))::BIGINT words from k)""")
+def f14_word_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    e = _entries(spark, sf).where("word_hinglish_roman is not null")
+    return stats.word_accuracy(e.select(F.col("word_hinglish_roman").alias("actual"), F.lower("word_hinglish_roman").alias("expected")))
+
+
+@query("select rec_id, 'HIN-' || printf('%05d', row_number() over (order by rec_id)) id from entries")
+def g01_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return writers.assign_ids(_entries(spark, sf, "rec_id")).select("rec_id", "id")
+
+
+# --- search -----------------------------------------------------------------------
+@query(f"select rec_id, id, tier::INT tier from {_TIER.format(q='करना')} where tier is not null and {_SAFE} and confidence_score >= 0.5 {_ORDER} limit 20")
+def h01_tier_search(spark: SparkSession, sf: str) -> DataFrame:
+    return search.tier_search(_entries(spark, sf), "करना", 20, safe=True, min_confidence=0.5).select("rec_id", "id", "tier")
+
+
+def _lookup_sql(q: str) -> str:
+    exact = f"(lower(coalesce(word_hindi,'')) = '{q}' or lower(coalesce(word_hinglish_roman,'')) = '{q}')"
+    part = f"(contains(lower(coalesce(word_hindi,'')), '{q}') or contains(lower(coalesce(word_hinglish_roman,'')), '{q}') or contains(lower(coalesce(definition,'')), '{q}'))"
+    return f"with h as (select *, case when {exact} then 1 when {part} then 2 end tier from entries), t as (select * from h where tier is not null order by tier, {_CONF} desc, rec_id limit 10) select rec_id, id, tier::INT tier from t where tier = (select min(tier) from t)"
+
+
+@query(_lookup_sql("dhaantitaul"))
+def h02_lookup_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return search.lookup(_entries(spark, sf), "Dhaantitaul").select("rec_id", "id", "tier")
+
+
+@query(_lookup_sql("aantit"))
+def h02_lookup_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    return search.lookup(_entries(spark, sf), "aantit").select("rec_id", "id", "tier")
+
+
+@query("select rec_id, exact from (select rec_id, coalesce(word_hindi = 'aantit' or word_hinglish_roman = 'aantit', false) exact, coalesce(contains(word_hindi, 'aantit'), false) or coalesce(contains(lower(word_hinglish_roman), 'aantit'), false) part from entries) where exact or part order by exact desc, rec_id limit 1")
+def m08_best_match(spark: SparkSession, sf: str) -> DataFrame:
+    return search.best_match(_entries(spark, sf), "aantit").select("rec_id", "exact")
+
+
+def _bm25_sql(words: list[str], prefix: bool) -> str:
+    tf = [f"len(list_filter(t, lambda x: {f'starts_with(x, {w!r})' if prefix else f'x = {w!r}'}))" for w in words]
+    cols = ", ".join(f"{x} tf{i}" for i, x in enumerate(tf))
+    sums = ", ".join(f"count(*) filter (where tf{i} > 0) df{i}" for i in range(len(words)))
+    score = " + ".join(f"greatest(ln((n - df{i} + 0.5::DOUBLE) / (df{i} + 0.5::DOUBLE)), 1e-6::DOUBLE) * (tf{i} * 2.2::DOUBLE) / (tf{i} + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len(t) / a))" for i in range(len(words)))
+    hit = " and ".join(f"tf{i} > 0" for i in range(len(words)))
+    return f"""with x as (select *, regexp_extract_all(lower(concat_ws(' ', word_hindi, word_hinglish_roman, definition)), '[\\p{{L}}\\p{{M}}\\p{{N}}]+') t from entries), y as (select *, {cols} from x), s as (select count(*) n, avg(len(t)) a, {sums} from y)
+select rec_id, round({score}, 6) bm25 from y, s where {hit} order by bm25 desc, {_CONF} desc, rec_id limit 20"""
+
+
+_FTS = ["word_hindi", "word_hinglish_roman", "definition"]
+
+
+@query(_bm25_sql(["old", "market"], False))
+def d06_bm25(spark: SparkSession, sf: str) -> DataFrame:
+    return search.full_text(_entries(spark, sf), "old market", _FTS).select("rec_id", "bm25")
+
+
+@query(_bm25_sql(["vill", "peo"], True))
+def d06_prefix_and(spark: SparkSession, sf: str) -> DataFrame:
+    return search.full_text(_entries(spark, sf), "vill peo", _FTS, prefix=True).select("rec_id", "bm25")
+
+
+@query("""select token, count(distinct ord)::BIGINT docs, count(*)::BIGINT uses from (select rec_id ord, unnest(regexp_extract_all(lower(concat_ws(' ', definition)), '[\\p{L}\\p{M}\\p{N}]+')) token from entries) group by 1""")
+def d06_inverted_index(spark: SparkSession, sf: str) -> DataFrame:
+    return search.inverted_index(_entries(spark, sf), ["definition"]).groupBy("token").agg(F.count("*").alias("docs"), F.sum("tf").alias("uses"))
+
+
+# --- sinks and sets ---------------------------------------------------------------
+@query("select id, arg_max(word_hinglish_roman, rec_id) filter (where true) r, max(rec_id) rec_id from (select id, coalesce(word_hinglish_roman,'') word_hinglish_roman, rec_id from entries) group by 1")
+def b03_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    e = _entries(spark, sf).select("id", "rec_id", F.coalesce("word_hinglish_roman", F.lit("")).alias("r"))
+    return writers.upsert(e.where("rec_id % 2 = 0"), e.where("rec_id % 2 = 1"), "rec_id")
+
+
+@query(f"""select distinct lower({_STRIP.format(c="coalesce(word_hinglish_roman,'')")}) word from entries where {_SAFE} and trim(coalesce(word_hinglish_roman,'')) <> '' and not regexp_matches(word_hinglish_roman, '[ऀ-ॿ]')""")
+def b06_words(spark: SparkSession, sf: str) -> DataFrame:
+    return writers.word_list(_entries(spark, sf))
+
+
+@query(f"select coalesce(id,'') id, coalesce(word_hindi,'') word_hindi, coalesce(word_hinglish_roman,'') word_hinglish_roman, coalesce(definition,'') definition, severity_score, coalesce(source,'') source from entries where not {_SAFE}")
+def b02_excluded(spark: SparkSession, sf: str) -> DataFrame:
+    return writers.excluded_rows(_entries(spark, sf))
+
+
+@query()
+def b09_sql_dump(spark: SparkSession, sf: str) -> DataFrame:
+    return writers.sql_dump(_entries(spark, sf), ["id", "word_hindi", "definition"], "entries")
+
+
+@query("with c as (select coalesce(part_of_speech,'') as value, count(*)::BIGINT n from entries group by 1) select value, n, repeat('█', greatest(1, floor(n * 40 / (select sum(n) from c)))::INT) bar from c")
+def b11_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.histogram_bars(_entries(spark, sf).groupBy(F.coalesce("part_of_speech", F.lit("")).alias("value")).agg(F.count("*").alias("n")))
+
+
+@query("select 'synset' origin, count(*)::BIGINT n from (select unnest(words) from synsets) union all select 'entries', count(*)::BIGINT from entries")
+def i01_union(spark: SparkSession, sf: str) -> DataFrame:
+    a = dictionaries.synset_entries(table(spark, sf, "synsets")).select("id", "word_hindi", "definition", F.lit("synset").alias("origin"))
+    b = _entries(spark, sf, "id", "word_hindi", "definition", "source").withColumn("origin", F.lit("entries"))
+    return a.unionByName(b, allowMissingColumns=True).groupBy("origin").agg(F.count("*").alias("n"))
+
+
+@query(f"select count(*) filter (where {_SAFE})::BIGINT safe, count(*) filter (where not {_SAFE})::BIGINT excluded, count(*)::BIGINT total from entries")
+def i05_partition(spark: SparkSession, sf: str) -> DataFrame:
+    safe, excluded = writers.split_safe(_entries(spark, sf))
+    x = safe.select(F.lit(1).alias("s")).unionByName(excluded.select(F.lit(0).alias("s")))
+    return x.agg(F.count_if(F.col("s") == 1).alias("safe"), F.count_if(F.col("s") == 0).alias("excluded"), F.count("*").alias("total"))
+
+
+def _length_model():
+    return lambda texts: [min(len(t) / 200, 1.0) for t in texts]
+
+
+@query()
+def l02_model_udf(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of a pluggable model, one per worker."""
+    return safety.score_texts(_entries(spark, sf, "rec_id", "definition"), "rec_id", "definition", _length_model)
+
+
+@query()
+def build_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole build from the raw sources: parse, merge, romanize, deduplicate, flag, score."""
+    from lexmill.plans.build import build
+
+    return build(table(spark, sf, "synsets"), table(spark, sf, "wiktionary_lines"), table(spark, sf, "overrides"), table(spark, sf, "blocklist"))
