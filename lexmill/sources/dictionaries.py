@@ -37,10 +37,10 @@ def parse_synsets(lines: DataFrame, column: str = "value") -> DataFrame:
     last field counts as missing.
     """
     f = F.split(strip(F.col(column)), "\t")
-    rows = lines.where(strip(F.col(column)) != "").select(f.alias("f")).where(F.size("f") >= 4).withColumn("synset_id", F.expr("try_cast(trim(f[0]) as int)")).where("synset_id is not null")
-    gloss, examples = split_gloss(F.col("f")[2])
-    words = F.filter(F.transform(F.split(F.col("f")[1], ","), lambda w: strip(w)), lambda w: w != "")
-    return rows.select("synset_id", words.alias("words"), gloss.alias("gloss"), examples.alias("examples"), strip(F.col("f")[3]).alias("pos"))
+    rows = lines.where(strip(F.col(column)) != "").select(f.alias("f")).where(F.size("f") >= 4).withColumn("synset_id", F.expr("try_cast(trim(get(f, 0)) as int)")).where("synset_id is not null")
+    gloss, examples = split_gloss(F.get("f", 2))
+    words = F.filter(F.transform(F.split(F.get("f", 1), ","), lambda w: strip(w)), lambda w: w != "")
+    return rows.select("synset_id", words.alias("words"), gloss.alias("gloss"), examples.alias("examples"), strip(F.get("f", 3)).alias("pos"))
 
 
 def synset_entries(synsets: DataFrame) -> DataFrame:
@@ -139,14 +139,14 @@ def read_linkage(spark: SparkSession, path: str) -> DataFrame:
     from pyspark.sql.functions import monotonically_increasing_id
 
     rows = spark.read.text(path).withColumn("o", monotonically_increasing_id()).where("trim(value) <> '' and not startswith(trim(value), '#')").select("o", F.split("value", "\t").alias("f")).where(F.size("f") >= 3)
-    rows = rows.select("o", F.expr("try_cast(trim(f[1]) as int)").alias("synset_id"), strip(F.col("f")[2]).alias("english")).where("synset_id is not null")
+    rows = rows.select("o", F.expr("try_cast(trim(get(f, 1)) as int)").alias("synset_id"), strip(F.get("f", 2)).alias("english")).where("synset_id is not null")
     return rows.groupBy("synset_id").agg(F.max(F.struct("o", "english")).alias("m")).select("synset_id", F.col("m.english").alias("english"))
 
 
 def read_hypernymy(spark: SparkSession, *paths: str) -> DataFrame:
     """(child_synset, parent_synset) of lines with exactly two fields."""
     f = spark.read.text(list(paths)).select(F.split(strip(F.col("value")), "\t").alias("f")).where(F.size("f") == 2)
-    return f.selectExpr("try_cast(trim(f[0]) as int) child_synset", "try_cast(trim(f[1]) as int) parent_synset").where("child_synset is not null and parent_synset is not null")
+    return f.selectExpr("try_cast(trim(get(f, 0)) as int) child_synset", "try_cast(trim(get(f, 1)) as int) parent_synset").where("child_synset is not null and parent_synset is not null")
 
 
 def read_terms(spark: SparkSession, path: str) -> DataFrame:
