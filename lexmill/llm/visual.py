@@ -82,13 +82,15 @@ def table_form(token: str) -> str:
             s = s.translate(_TO_LATIN)
     for c in COLONS:
         s = s.replace(c, ":")
-    s = re.sub(f"(?<=[{_DEVA}]):", "ः", s)
-    for rx, to in _ORDER:
-        s = rx.sub(to, s)
-    s = _TWICE.sub(r"\1", s)
-    while (t := _PARTS.sub(lambda m: DEVANAGARI_PARTS[m[0]], s)) != s:
+    s = re.sub(f"(?<=[{_DEVA}]):+", lambda m: "ः" * len(m[0]), s)
+    while True:  # each rewrite moves a nukta or sign forward or shortens the token, so this ends
+        t = s
+        for rx, to in _ORDER:
+            t = rx.sub(to, t)
+        t = _PARTS.sub(lambda m: DEVANAGARI_PARTS[m[0]], _TWICE.sub(r"\1", t))
+        if t == s:
+            return unicodedata.normalize("NFC", s)
         s = t
-    return unicodedata.normalize("NFC", _TWICE.sub(r"\1", s))
 
 
 def skeleton(token: str) -> str:
