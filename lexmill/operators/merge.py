@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.fuzzy import ratio
@@ -36,9 +36,11 @@ def fuzzy_best(targets: DataFrame, candidates: DataFrame, threshold: float = 85.
 
     score is the greatest of the headwords' ratio h, the romans' ratio r, and
     0.7 h + 0.3 r. Ratios count insertions and deletions only. Ties: the lower
-    candidate. A pair over 80 shares its first letter in headword or roman and
-    lies within a length band; blocks are distinct (headword, roman) pairs of a
-    letter and length, so equal rows are scored once.
+    candidate. Such a pair has h or r of at least ``threshold``, so its two
+    spellings are within d = (1 - threshold) x (both lengths) deletions and
+    insertions: cut into d + 1 pieces, one spelling has a piece that stands
+    unchanged in the other, shifted by d at most. Pairs meet by such pieces, so
+    none is lost; equal (headword, roman) rows are scored once.
     """
 
     def distinct(df: DataFrame) -> DataFrame:
@@ -48,14 +50,45 @@ def fuzzy_best(targets: DataFrame, candidates: DataFrame, threshold: float = 85.
     c = distinct(candidates).groupBy("h", "r").agg(F.min("o").alias("o"))
     spelled = t.select("h", "r").distinct()
 
-    def blocks(df: DataFrame, near: bool) -> DataFrame:
-        # a ratio of 85 or more allows lengths to differ by a factor of (2-.85)/.85
-        size = F.length("h")
-        sizes = F.sequence(F.floor(size * 0.73).cast("int"), F.ceil(size * 1.36).cast("int")) if near else F.array(size)
-        return df.where("h <> ''").select("*", F.substring("h", 1, 2).alias("b"), F.explode(sizes).alias("n"))
+    # pieces of candidates, and the places of targets where such a piece may stand
+    loss = 1 - threshold / 100
+    reach = (1 + loss) / (1 - loss)  # the greatest quotient of the two lengths
 
-    pairs = blocks(spelled, True).alias("a").join(blocks(c, False).alias("z"), (F.col("a.b") == F.col("z.b")) & (F.col("a.n") == F.col("z.n")))
-    h, r = ratio(F.col("a.h"), F.col("z.h")), ratio(F.col("a.r"), F.col("z.r"))
-    scored = pairs.select(F.col("a.h").alias("h"), F.col("a.r").alias("r"), F.col("z.o").alias("o"), h.alias("sh"), r.alias("sr")).withColumn("s", F.greatest("sh", "sr", F.col("sh") * 0.7 + F.col("sr") * 0.3)).where(F.col("s") >= threshold)
+    def pieces(df: DataFrame, c: str) -> DataFrame:
+        n = F.length(c)
+        k = F.greatest(F.least(F.floor(n * (1 + reach) * loss + 1e-9) + 1, n), F.lit(1)).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.struct((F.floor(i * n / k) + 1).cast("int").alias("at"), (F.floor((i + 1) * n / k) - F.floor(i * n / k)).cast("int").alias("size")))
+        return df.where(n > 0).select(F.col(c).alias("s"), n.alias("n"), F.explode(cut).alias("p")).select("s", "n", F.col("p.at").alias("at"), F.substr("s", F.col("p.at"), F.col("p.size")).alias("g"), F.col("p.size").alias("size"))
+
+    def places(df: DataFrame, c: str, sizes: list[int]) -> DataFrame:
+        n = F.length(c)
+
+        def of_size(z: int) -> Column:
+            starts = F.when(n >= z, F.sequence(F.lit(1), n - z + 1)).otherwise(F.array().cast("array<int>"))
+            return F.transform(starts, lambda i: F.struct(i.alias("at"), F.substr(F.col(c), i, F.lit(z)).alias("g")))
+
+        grams = F.flatten(F.array(*[of_size(z) for z in sizes]))
+        return df.where(n > 0).select(F.col(c).alias("s"), n.alias("n"), F.explode(grams).alias("p")).select("s", "n", "p.at", "p.g")
+
+    # a piece has 1 / (loss x (1 + reach)) letters or less, one more by rounding
+    sizes = list(range(1, int(1 / (loss * (1 + reach))) + 3)) if loss > 0 else []
+
+    def near(c: str) -> DataFrame:
+        """Distinct (target spelling, candidate spelling) that may reach the threshold."""
+        a, z = spelled.select(c).distinct(), cand.select(c).distinct()
+        if not sizes:
+            return a.join(z, c).select(F.col(c).alias("a"), F.col(c).alias("z"))
+        x, y = places(a, c, sizes).alias("x"), pieces(z, c).alias("y")
+        d = (F.col("x.n") + F.col("y.n")) * loss + 1e-9
+        met = x.join(y, F.col("x.g") == F.col("y.g")).where((F.abs(F.col("x.n") - F.col("y.n")) <= d) & (F.abs(F.col("x.at") - F.col("y.at")) <= d))
+        return met.select(F.col("x.s").alias("a"), F.col("y.s").alias("z")).distinct()
+
+    cand = c
+    by_h = near("h").join(spelled.withColumnRenamed("h", "a"), "a").select(F.col("a").alias("ah"), F.col("r").alias("ar"), F.col("z").alias("zh")).join(cand.withColumnsRenamed({"h": "zh", "r": "zr"}), "zh")
+    by_r = near("r").join(spelled.withColumnRenamed("r", "a"), "a").select(F.col("h").alias("ah"), F.col("a").alias("ar"), F.col("z").alias("zr")).join(cand.withColumnsRenamed({"h": "zh", "r": "zr"}), "zr")
+    columns = ["ah", "ar", "zh", "zr", "o"]
+    pairs = by_h.select(columns).unionByName(by_r.select(columns)).distinct()
+    sh, sr = ratio(F.col("ah"), F.col("zh")), ratio(F.col("ar"), F.col("zr"))
+    scored = pairs.select(F.col("ah").alias("h"), F.col("ar").alias("r"), "o", sh.alias("sh"), sr.alias("sr")).withColumn("s", F.greatest("sh", "sr", F.col("sh") * 0.7 + F.col("sr") * 0.3)).where(F.col("s") >= threshold)
     best = scored.groupBy("h", "r").agg(F.max(F.struct("s", -F.col("o"))).alias("m")).select("h", "r", F.col("m.s").alias("score"), (-F.col("m.col2")).alias("candidate"))
     return t.join(best, ["h", "r"]).select(F.col("o").alias("target"), "candidate", "score")

@@ -266,14 +266,14 @@ def e02_fuzzy_best(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""with o as (select word_hindi w, min(roman) r from overrides where trim(roman) <> '' group by 1)
 select rec_id, case when r is not null then 'common_word' when regexp_matches(coalesce(word_hindi,''), '[ऀ-ॿ]') then 'rule' when coalesce(trim(word_hinglish_roman),'') <> '' and not regexp_matches(word_hinglish_roman, '[ऀ-ॿ]') then 'iso' else 'rule' end how, r from entries left join o on w = word_hindi""")
 def e03_override_join(spark: SparkSession, sf: str) -> DataFrame:
-    out = lookup.romanize_headwords(_entries(spark, sf, "rec_id", "word_hindi", "word_hinglish_roman"), table(spark, sf, "overrides"))
+    out = lookup.romanize_headwords(spread(_entries(spark, sf, "rec_id", "word_hindi", "word_hinglish_roman")), table(spark, sf, "overrides"))
     return out.select("rec_id", F.col("_romanization_method").alias("how"), F.when(F.col("_romanization_method") == "common_word", F.col("word_hinglish_roman")).alias("r"))
 
 
 @query()
 def p01_transliterate_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Definitions and examples in Latin letters."""
-    return lookup.romanize_texts(_entries(spark, sf, "rec_id", "definition", "example_sentence")).select("rec_id", "definition_hinglish", "example_hinglish")
+    return lookup.romanize_texts(spread(_entries(spark, sf, "rec_id", "definition", "example_sentence"))).select("rec_id", "definition_hinglish", "example_hinglish")
 
 
 _MEM = "select synset, id, min(rec_id) ord, min(pos) pos from (select id, rec_id, synsets[i] synset, i - 1 pos from (select id, rec_id, synsets, unnest(range(1, len(synsets) + 1)) i from entries)) group by 1, 2"
@@ -579,4 +579,4 @@ def build_lexicon(spark: SparkSession, sf: str) -> DataFrame:
     """The whole build from the raw sources: parse, merge, romanize, deduplicate, flag, score."""
     from lexmill.plans.build import build
 
-    return build(table(spark, sf, "synsets"), table(spark, sf, "wiktionary_lines"), table(spark, sf, "overrides"), table(spark, sf, "blocklist"))
+    return build(spread(table(spark, sf, "synsets")), spread(table(spark, sf, "wiktionary_lines")), table(spark, sf, "overrides"), table(spark, sf, "blocklist"))
