@@ -76,3 +76,21 @@ def test_ids_and_upsert(spark):
     old = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "id string, rec_id long, v string")
     new = spark.createDataFrame([("a", 1, "z"), ("c", 3, None)], "id string, rec_id long, v string")
     assert sorted(map(tuple, upsert(old, new, "rec_id").collect())) == [("a", 1, "z"), ("b", 2, "y"), ("c", 3, None)]
+
+
+def test_fuzzy_loses_no_pair(spark):
+    from lexmill.functions.fuzzy import indel_ratio
+
+    r = random.Random(1)
+    word = lambda: "".join(r.choice("aghrkl") for _ in range(r.randint(1, 11)))
+    a = [(i, word(), word()) for i in range(60)]
+    b = [(100 + i, word(), word()) for i in range(60)] + [(200 + i, a[i][1][:2] + "x" + a[i][1][2:], word()) if i % 2 else (200 + i, word(), a[i][2][:-1] or "q") for i in range(40)]
+    want = {}
+    for o, h, s in a:
+        scored = [(-max(x, y, 0.7 * x + 0.3 * y), p) for p, h2, s2 in b for x, y in [(indel_ratio(h, h2), indel_ratio(s, s2))]]
+        best, p = min(scored)
+        if -best >= 85:
+            want[o] = (p, round(-best, 6))
+    schema = "rec_id long, word_hindi string, word_hinglish_roman string"
+    got = {x.target: (x.candidate, round(x.score, 6)) for x in fuzzy_best(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)).collect()}
+    assert got == want and len(got) > 10
