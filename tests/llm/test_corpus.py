@@ -148,6 +148,23 @@ def test_no_labels_leaves_terms():
     assert m.judge(r, "Zarbol", [], {}) == ("abuse", 1.0, "zarbol") and m.judge(r, "x", ["long " * 5000], {})[0] == "none"
 
 
+def test_corpus_counts_cover_every_row(spark):
+    # rare words, pairs and a slot of one unlisted term, spread over more rows than any sample held
+    good = ["the house is near the river", "people sell fruit here", "the boat came home", "a dog guards the house"]
+    bad = ["you are a filthy zarbol and a fool", "shut your mouth zarbol fool", "get lost you zarbol fool"]
+    texts = [f"{good[i % 4]} number{i // 2}x" for i in range(13_000)] + [t.replace("zarbol", "drimlot") for t in bad] + [good[0] + ". " + t for t in bad] * 4
+    df = spark.createDataFrame([(i, None, t) for i, t in enumerate(texts)], "rec_id long, word_hindi string, definition string").repartition(4)
+    reviewed = [(i, "none") for i in range(16)] + [(i, "abuse") for i in range(13_003, len(texts))]
+    labels = spark.createDataFrame(reviewed, "rec_id long, label string")
+    m = content.content_model(df, "rec_id", "word_hindi", ["definition"], labels, spark.createDataFrame([("zarbol", "abuse")], "term string, category string"))
+    want = content.train(sorted(((None, [texts[i]], y) for i, y in reviewed), key=lambda r: (str(r[0]), str(r[1]), r[2])), [(None, [t]) for t in texts], [("zarbol", "abuse")])
+    words = content.SparkCorpus(df.select(F.col("word_hindi").alias("h"), F.array("definition").alias("ts"))).words({"river."})
+    assert words["house"] == 6_512 and all(words[w] == 3_250 for w in ("people", "boat")) and words["drimlot"] == 3
+    assert m.headword_terms == want.headword_terms == {"zarbol": "abuse", "drimlot": "abuse"}
+    assert m.lm.counts == want.lm.counts and m.weights.keys() == want.weights.keys()
+    assert all(np.allclose(m.weights[i], want.weights[i]) for i in m.weights)
+
+
 # --- 5: look-alikes -----------------------------------------------------------------
 SAME = [("घ‍र", "घर"), ("ज़मीन", "ज़मीन"), ("ज़मीन", "ज़मीन"), ("काेट", "कोट"), ("अाम", "आम"), ("आॅफ़िस", "ऑफ़िस"), ("प्रात:", "प्रातः"), ("प्रात：", "प्रातः"), ("कंंबल", "कंबल"), ("profilе", "profile"), ("ｇｈａｒ", "ghar"), ("pānī", "pānī"), ("ﬁn", "fin"), ("a　b", "a b"), (" घर\xa0", "घर"), ("घर   वाला", "घर वाला"), ("café", "café"), ("ग\xadघर", "गघर"), ("​", ""), ("\xa0", "")]
 
