@@ -239,20 +239,28 @@ def _fit(model: ByteCNN, x: np.ndarray, target: np.ndarray, weight: np.ndarray,
     return model
 
 
-def single(words: list[str], known: dict[str, np.ndarray], min_run: int = MIN_RUN) -> tuple[int, int, int, float] | None:
-    """The one stretch of a text in which fewer than ``min_run`` words speak for another language; None: look closer."""
-    total = [0.0] * len(LANGS)
-    votes = [0] * len(LANGS)
-    for w in words:
-        s = known[w]
-        votes[s.argmax()] += 1
-        for y in range(len(LANGS)):
-            total[y] += float(s[y])
-    y = max(range(len(LANGS)), key=total.__getitem__)
-    if len(words) - votes[y] >= min_run:
-        return None
-    mean = [t / len(words) for t in total]
-    return 0, len(words), y, 1 / sum(np.exp(m - mean[y]) for m in mean)
+def single(words: list[str], known: dict[str, np.ndarray]) -> tuple[int, int, int, float] | None:
+    """The one stretch of a text whose best path surely has no switch; None: look closer.
+
+    Over the language of the greatest total, a path gains at most the sum of
+    what each word's best language gains; and in each stretch at most the best
+    sum of score differences of any run of words in one language. Of m stretches
+    m - 1 pay for a switch, so no path with one is better if the first is within
+    the least weight of a switch or the second within half of it.
+    """
+    s = np.array([known[w] for w in words], np.float64)
+    total = s.sum(0)
+    y = int(total.argmax())
+    gain = s - s[:, y : y + 1]
+    # (paths are summed in single precision)
+    least = min(SWITCH_SCRIPT, SWITCH_MARK, SWITCH_PLAIN) - 1e-3
+    mean = total / len(words)
+    one = 0, len(words), y, float(1 / np.exp(mean - mean[y]).sum())
+    if float(gain.max(1).sum()) <= least:
+        return one
+    gain = gain.cumsum(0)
+    low = np.minimum.accumulate(np.concatenate([np.zeros((1, len(LANGS))), gain[:-1]]), 0)
+    return one if float((gain - low).max()) <= least / 2 else None
 
 
 def stretches(scores: list[np.ndarray], costs: list[list[float]], min_run: int = MIN_RUN) -> list[list[tuple[int, int, int, float]]]:

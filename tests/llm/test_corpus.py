@@ -86,6 +86,30 @@ def test_languages_and_stretches(spark, cnn):
     assert langid.label_languages(df.limit(0), "rec_id", "definition", cnn).count() == 0
 
 
+def test_short_cut_keeps_stretches_with_a_shared_word():
+    # "to" votes for English by a little, its two neighbours for romanised Hindi by much
+    en, hi = np.log(np.array([0.97, 0.01, 0.01, 0.01], np.float32)), np.log(np.array([0.001, 0.001, 0.997, 0.001], np.float32))
+    known = {"house": en, "to": np.log(np.array([0.5, 0.01, 0.48, 0.01], np.float32)), "ham": hi, "chale": hi}
+    words = ["house"] * 5 + ["to", "ham", "chale"]
+    assert langid.single(words, known) is None and langid.single(["house"] * 5 + ["to"], known)[1:3] == (6, 0)
+    runs = langid.stretches([np.array([known[w] for w in words])], [[4.0] * 8])[0]
+    assert [r[:3] for r in runs] == [(0, 5, 0), (5, 3, 2)]
+    # two stretches, neither in the language of the greatest total, and neither gaining a whole switch
+    a, b = np.array([0, -1.2, -0.9, -9], np.float32), np.array([-1.2, 0, -0.9, -9], np.float32)
+    a[2] = b[2] = -0.59
+    assert langid.single(list("aaabbb"), {"a": a, "b": b}) is None and len(langid.stretches([np.array([a] * 3 + [b] * 3)], [[3.0] * 6])[0]) == 2
+    # whatever it takes for single, the full search does, too
+    r, took = np.random.default_rng(1), 0
+    for _ in range(600):
+        scores = np.log(r.dirichlet([0.3] * 4 if r.random() < 0.5 else [2.0, 0.3, 0.3, 0.3], int(r.integers(1, 12)))).clip(-9).astype(np.float32)
+        one = langid.single([str(i) for i in range(len(scores))], {str(i): x for i, x in enumerate(scores)})
+        costs = r.choice([3.0, 4.0, 5.5], len(scores)).tolist()
+        if one is not None:
+            took += 1
+            assert [x[:3] for x in langid.stretches([scores], [costs])[0]] == [one[:3]]
+    assert took > 100
+
+
 def test_label_ways(spark):
     ways = {"hi": "hi", " HIN ": "hi", "Hindi": "hi", "hi-Deva": "hi", "hi_IN": "hi", "hi_Latn": "hi-Latn", "Hinglish": "hi-Latn", "hin-Latn-IN": "hi-Latn", "EN-in": "en", "eng": "en", "MAR": "mr", "Mixed": "mixed", "fr": "other", "und": None, "": None, "N/A": None}
     rows = spark.createDataFrame(list(ways), "string").select("value", langid.canonical_label(F.col("value")).alias("y")).collect()
