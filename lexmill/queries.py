@@ -260,7 +260,7 @@ def e01_merge_first_match(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def e02_fuzzy_best(spark: SparkSession, sf: str) -> DataFrame:
     e = _entries(spark, sf, "rec_id", "word_hindi", "word_hinglish_roman", "source")
-    return merge.fuzzy_best(e.where("source like 'supplemental%'"), e.where("source = 'WordNet'"))
+    return merge.fuzzy_best(e.where("not (source <=> 'WordNet')"), e.where("source = 'WordNet'"))
 
 
 @query(f"""with o as (select word_hindi w, min(roman) r from overrides where trim(roman) <> '' group by 1)

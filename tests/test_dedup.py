@@ -69,6 +69,14 @@ def test_fuzzy_best(spark):
     assert [tuple(r)[:2] for r in fuzzy_best(t, c).collect()] == [(1, 7)]
 
 
+def test_fuzzy_query_reads_every_source(spark, tmp_path):
+    from lexmill.queries import QUERIES
+
+    rows = [(1, "कंबल", "kanbal", "WordNet"), (2, "कंबल", "kambal", "Wiktionary"), (3, "कंबल", "kambal", None), (4, "कंबल", "kambal", "supplemental_a")]
+    spark.createDataFrame(rows, "rec_id long, word_hindi string, word_hinglish_roman string, source string").write.parquet(f"{tmp_path}/entries.parquet")
+    assert sorted(tuple(r)[:2] for r in QUERIES["e02_fuzzy_best"](spark, str(tmp_path)).collect()) == [(2, 1), (3, 1), (4, 1)]
+
+
 def test_ids_and_upsert(spark):
     df = spark.range(0, 1000).selectExpr("id * 3 as rec_id").repartition(5)
     got = {r.rec_id: r.id for r in assign_ids(df).collect()}
