@@ -154,13 +154,13 @@ class Automaton:
                         break
                 if at is not None:
                     stack.append((j, at))
-        return best and best[1]
+        return best and unicodedata.normalize("NFC", best[1])
 
 
 #: Ordinary letters: printable ASCII, composed Latin, Devanagari without precomposed nukta letters.
-_ORDINARY = "!-~\\u00c0-\\u0131\\u0134-\\u013e\\u0141-\\u0148\\u014a-\\u017e\\u0900-\\u0928\\u092a-\\u0930\\u0932\\u0933\\u0935-\\u0957\\u0960-\\u097f"
-#: What may still be wrong with a value of ordinary letters: blanks, double signs, signs in parts or out of order, colons.
-_FAULTS = "^ | $|  |([\\u0900-\\u0902\\u093c\\u0941-\\u0948\\u094d\\u0951\\u0952])\\1|[अआउए][ा-ौ]|[ॅॆेै]ा|ा[ॅॆेै]|[ऀ-ः़ा-ौ]़|[ऀ-ः][ा-ौॎॏ]|[\\u0900-\\u097f]:"
+_ORDINARY = "!-~\\u00c0-\\u0130\\u0134-\\u013e\\u0141-\\u0148\\u014a-\\u017e\\u0900-\\u0928\\u092a-\\u0930\\u0932\\u0933\\u0935-\\u0957\\u0960-\\u097f"
+#: What may still be wrong with a value of ordinary letters: blanks, double signs, signs in parts or out of order, letters NFC composes with a nukta, colons.
+_FAULTS = "^ | $|  |([\\u0900-\\u0902\\u093c\\u0941-\\u0948\\u094d\\u0951\\u0952])\\1|[अआउए][ा-ौ]|[ॅॆेै]ा|ा[ॅॆेै]|[ऀ-ः़ा-ौ]़|[ऀ-ः][ा-ौॎॏ]|[\\u0928\\u0930\\u0933]\\u093c|[\\u094d\\u0951-\\u0954]\\u093c|[\\u0951-\\u0954]\\u094d|[\\u0951\\u0953\\u0954]\\u0952|[\\u094e\\u094f]\\u093c|[\\u0900-\\u097f]:"
 _SPLIT = "[\\s\\x0B\\x85\\p{Z}]+"
 
 

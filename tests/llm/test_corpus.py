@@ -1,7 +1,9 @@
 """Corpus operators on small tables: defined results for odd input, and brute force or round trips."""
 
 import base64
+import itertools
 import random
+import re
 import unicodedata
 from datetime import datetime, timedelta
 from pathlib import Path
@@ -223,6 +225,18 @@ def test_automaton_takes_the_frequent_spelling():
     assert a.canonical("gh‍aг"[:4] + "r") == "ghar" and a.canonical("ghaar") is None
 
 
+def test_plain_values_keep_their_form(spark):
+    ordinary = [c for c in map(chr, range(0x21, 0x980)) if re.fullmatch(f"[{visual._ORDINARY}]", c)]
+    faults = re.compile(visual._FAULTS)
+    few = [c for c in "aAé:कनरळअआउए" if c in ordinary] + [c for c in ordinary if "ऀ" <= c and not c.isalnum()]
+    for v in itertools.chain(ordinary, map("".join, itertools.product(ordinary, repeat=2)), map("".join, itertools.product(few, repeat=3))):
+        if not faults.search(v):
+            assert visual.table_form.__wrapped__(v) == v, ascii(v)
+    odd = ["न\u093cद", "क\u094d\u093c", "क\u0951\u0952", "र\u093c", "ı"]
+    got = {r.rec_id: r.form for r in visual.visual_forms(spark.createDataFrame(list(enumerate(odd)) + [(9, "\u0931"), (10, "क़")], "rec_id long, word_hindi string"), "rec_id", ["word_hindi"]).collect()}
+    assert got == {0: "\u0929द", 1: "क\u093c\u094d", 2: "क\u0952\u0951", 3: "\u0931", 4: "i"}
+
+
 def test_very_long_value(spark):
     long = "घर " * 20_000
     got = visual.visual_forms(spark.createDataFrame([(1, long)], "rec_id long, word_hindi string"), "rec_id", ["word_hindi"]).collect()
