@@ -189,7 +189,7 @@ def split_packed(df: DataFrame, id_col: str, fields: Iterable[str], word_fields:
     id_type = dict(long.dtypes)["id"]
     if min_values > 1:  # one plain value: no separator of any kind
         mark = "[" + re.escape(SEPARATORS) + r"\[\{\(\"]|\d[.)]"
-        plain = ~F.col("text").rlike(mark) & ~(F.col("field").isin(*words) & F.trim("text").contains(" ") if words else F.lit(False))
+        plain = ~F.col("text").rlike(mark) & ~(F.col("field").isin(*words) & F.trim("text").rlike("[ \u00a0]") if words else F.lit(False))
         long = long.where(~plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -53,3 +53,11 @@ def test_split(spark):
     assert got == sorted(map(lambda r: r, want), key=lambda r: str(__import__("pyspark").sql.Row(rec_id=r[0], field=r[1], pos=r[2], item=r[3])))
     assert split_packed(df.limit(0), "rec_id", ["tags"]).count() == 0
     assert split_packed(df, "rec_id", ["flags"]).where("rec_id = 3").count() == 1
+
+
+def test_words_parted_by_a_fixed_blank_are_found(spark):
+    from lexmill.operators.packed import split_packed
+
+    df = spark.createDataFrame([(1, "abuse\u00a0hate"), (2, "abuse")], "rec_id long, toxicity_flags string")
+    got = split_packed(df, "rec_id", ["toxicity_flags"], ["toxicity_flags"], min_values=2).collect()
+    assert sorted((r.rec_id, r.pos, r.item) for r in got) == [(1, 1, "abuse"), (1, 2, "hate")]
