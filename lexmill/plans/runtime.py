@@ -3,8 +3,10 @@ slots, and cutting lineage in a place every executor can reach."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,24 +48,58 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
-def _checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in spark.checkpoint.dir; where it names
-    none (tests on one machine) make one."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that every executor can reach: the one the cluster names in spark.checkpoint.dir.
+
+    Where none is named, a session on one machine (tests) uses a folder there;
+    on a cluster that is an error, as no executor could read another's files.
+    """
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isDefined():
-        return
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), f"lexmill-checkpoint-{os.getpid()}"))
+    own = sc._jsc.sc().getCheckpointDir()
+    if named or own.isDefined():
+        return (named or own.get()).rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a shared folder")
+    return os.path.join(tempfile.gettempdir(), f"lexmill-{os.getpid()}")
+
+
+_written: dict[str, DataFrame] = {}
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
+    """Write ``df`` as a table in the shared folder and go on from there.
 
     Used where a result is read more than once or a loop would grow its
-    lineage. A lost executor costs nothing: the files stay.
+    lineage. A lost executor costs nothing: the files stay. Joins see the
+    table's true size. ``release`` deletes it; what is left goes at exit.
     """
-    _checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._durable_path = path
+    _written[path] = out
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``durable`` wrote and nothing reads any more."""
+    for t in tables:
+        path = getattr(t, "_durable_path", None)
+        if _written.pop(path, None) is not None:
+            sc = t.sparkSession.sparkContext
+            at = sc._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@atexit.register
+def _release_all() -> None:
+    for t in list(_written.values()):
+        try:
+            release(t)
+        except Exception:  # noqa: BLE001 - the session may have ended before
+            _written.clear()
 
 
 def bounded_sample(df: DataFrame, by: list[str], rows: int) -> DataFrame:
