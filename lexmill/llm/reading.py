@@ -16,9 +16,10 @@ sentences' levels, so single sentences above or below it don't count.
 Parameters come by alternating optimisation until the documents' levels stand
 still. Word step: Newton steps on each word's likelihood, whose sufficient
 statistics are three sums over its sentences (1, t, t^2 / 2) and one histogram
-of all sentences over the scale, for the sentences without the word. Text
-step: each sentence's level around its document's, then the documents'. Rated
-documents anchor the scale: their sentences count at the rated level.
+of all sentences over the scale, for the sentences without the word; a sentence
+counts at its document's level. Text step: each sentence's level from its words,
+then each document's. Rated documents anchor the scale: they count at the rated
+level, the others at their estimate, kept within the grades.
 
 Scale: texts are cut once, into one row per document that holds its words as
 numbers. Text step and sums are one map over these rows, word sums are added
@@ -48,8 +49,8 @@ RARE = 1e-6
 #: The scale: points on which sentences' levels are found, from a grade and a half below the grades to as much above.
 POINTS = np.linspace(GRADES[0] - 1.5, GRADES[-1] + 1.5, 37)
 CENTRE = (GRADES[0] + GRADES[-1]) / 2
-#: Weight of the priors: a word's logit is flat, a sentence's level is the scale's middle, a sentence is near its document.
-FLAT, MIDDLE, NEAR = 0.5, 0.2, 7.0
+#: Weight of the priors: a word's logit is flat, a sentence's level is the scale's middle.
+FLAT, MIDDLE = 0.02, 0.2
 #: Weight of all unrated documents together, the rated ones being 1.
 UNRATED = 0.2
 #: Mean change of a document's level, in grades, at which the optimisation ends; rounds after which it ends anyhow.
@@ -61,7 +62,7 @@ CLASSES = 1 << 8
 
 _TAG = "<[^<>]{1,200}>"
 _END = "[.!?…।॥|]+(?:[\"'”’)\\]]*)(?=\\s|$)|[\\n\\r]+"
-_PIECE = "[,;\\n|.।॥!?\\t、，；]|\\s[-–—]\\s"
+_PIECE = "[,;\\n|.।॥!?\\t、，；]+"
 _WORD = "[\\p{L}][\\p{L}\\p{M}'’]*"
 
 
@@ -79,8 +80,11 @@ def running_text(text: Column, min_words: int = MIN_WORDS) -> Column:
     plain = _plain(text)
     tokens = F.filter(F.split(plain, "\\s+"), lambda w: w != "")
     words = F.size(tokens)
-    pieces = F.size(F.filter(F.split(plain, _PIECE), lambda p: F.trim(p) != ""))
-    digits = F.size(F.filter(tokens, lambda w: w.rlike("\\p{N}")))
+    parts = plain
+    for dash in (" - ", " – ", " — "):
+        parts = F.replace(parts, F.lit(dash), F.lit(","))
+    pieces = F.size(F.filter(F.split(parts, _PIECE), lambda p: F.trim(p) != ""))
+    digits = F.when(plain.rlike("\\p{N}"), F.size(F.filter(tokens, lambda w: w.rlike("\\p{N}")))).otherwise(0)
     ends = plain.rlike("[.!?…।॥|]")
     lines = plain.rlike("\\S[^\\n\\r]*[\\n\\r]+[^\\n\\r]*\\S")
     repeats = F.size(F.array_distinct(tokens)) < 0.93 * words
@@ -89,7 +93,8 @@ def running_text(text: Column, min_words: int = MIN_WORDS) -> Column:
 
 def _word_key(w: Column) -> Column:
     """A word as a number: its hash, with its class in the last 8 bits."""
-    script = F.when(w.rlike("^[a-z]"), 0).when(w.rlike("^[\\u0900-\\u097f]"), 1).when(w.rlike("^\\p{IsLatin}"), 2).otherwise(3)
+    first = F.ascii(w)
+    script = F.when(first.between(0x61, 0x7A), 0).when(first.between(0x900, 0x97F), 1).when(first.between(0xAA, 0x24F), 2).otherwise(3)
     return F.shiftleft(F.xxhash64(w), 8).bitwiseOR((script * 64 + F.least(F.length(w), F.lit(63))).cast("long"))
 
 
@@ -116,17 +121,15 @@ class Words:
         return Words(np.where(known[:, None], weights, 0), np.log(np.maximum(total, 1e-300)))
 
 
-def _peaks(n: np.ndarray, s1: np.ndarray, s2: np.ndarray, normaliser: np.ndarray, near: np.ndarray | None = None) -> np.ndarray:
+def _peaks(n: np.ndarray, s1: np.ndarray, s2: np.ndarray, normaliser: np.ndarray) -> np.ndarray:
     """Where each sentence's likelihood is greatest on the scale, by a parabola through the three points around.
 
-    n words, and the sums of their weights of t and t^2 / 2. ``near``: the level of each one's document.
+    n words, and the sums of their weights of t and t^2 / 2.
     """
     t, out = POINTS - CENTRE, np.empty(len(n))
     for at in range(0, len(n), 50_000):
         k = slice(at, at + 50_000)
         like = s1[k, None] * t + s2[k, None] * (t * t / 2) - n[k, None] * normaliser - MIDDLE * t * t / 2
-        if near is not None:
-            like -= NEAR / 2 * (POINTS - near[k, None]) ** 2
         rows, j = np.arange(len(like)), np.clip(like.argmax(1), 1, len(POINTS) - 2)
         y0, y1, y2 = like[rows, j - 1], like[rows, j], like[rows, j + 1]
         bend = y0 - 2 * y1 + y2
@@ -206,8 +209,7 @@ def _sums(docs: DataFrame, size: int, words: Words | None, before: Words | None,
                 if then is not None:
                     both = np.abs(own - x.levels(then))
                     change[0, :2] += np.nansum(both), np.count_nonzero(~np.isnan(both))
-                near = np.nan_to_num(own, nan=CENTRE)[x.doc]
-                level = np.where(rated[x.doc], x.rated[x.doc], _peaks(*x.known(now), now.normaliser, near))
+                level = np.where(rated, x.rated, np.clip(np.nan_to_num(own, nan=CENTRE), GRADES[0], GRADES[-1]))[x.doc]
             at = np.clip(np.rint((level - POINTS[0]) / step), 0, len(POINTS) - 1).astype(int)
             t = POINTS[at] - CENTRE
             histogram[:, 0] += np.bincount(at, weight, len(POINTS))
