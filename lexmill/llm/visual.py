@@ -2,23 +2,27 @@
 
 Two tokens look the same if one turns into the other by edits of weight zero:
 look-alike letters (Cyrillic a for Latin a), look-alike sequences (a vowel sign
-written in two parts), and ignorables (anything that cannot be seen). The
-vocabulary of tokens written in plain letters is held in a trie; a weighted
-edit automaton walks the trie along a dirty token, following every branch of
-weight zero, and the most frequent token it can reach is the canonical
-spelling. A token that reaches none is normalised by the table.
+written in two parts), and ignorables (anything that cannot be seen). Any other
+edit has a weight: a mark or a letter dropped, added or changed. The vocabulary
+of tokens written in plain letters is held in tries; a weighted edit automaton
+walks a trie along a dirty token, the lightest path first, and drops paths
+whose weight reaches the cut-off. The plain token of least weight, then the most
+frequent, is the canonical spelling. A token that reaches none is normalised by
+the table.
 
 Distribution: tokens are counted (partial sums before the shuffle), then placed
-by their skeleton, the class of all tokens at distance zero. A trie holds the
-plain tokens of a run of skeletons and is dropped behind it, so a task needs
-memory for one Arrow batch, whatever the vocabulary's size. Nothing is
-broadcast or collected.
+by their first ``HEAD`` base letters, which tokens that look the same share. A
+trie holds the plain tokens of one head and is dropped behind it: it is a sorted
+list, a node being a range of it, so it needs little more memory than its
+tokens. Nothing is broadcast or collected.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,6 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.plans.runtime import durable
+
+#: Weights of an edit that can be seen: of a mark, of a letter. Paths of CUTOFF and more are dropped, so nothing that can be seen changes.
+MARK, LETTER, CUTOFF = 0.7, 1.0, 0.5
+#: Base letters that place a token.
+HEAD = 3
+
 # --- fixed values -----------------------------------------------------------
 #: Look-alikes of Latin letters in other alphabets, by letter.
 LATIN_LOOKALIKES = {
@@ -61,12 +72,22 @@ def _blank(c: str) -> bool:
     return unicodedata.category(c) in ("Zs", "Zl", "Zp") or c in "\t\n\r\v\f\x85"
 
 
+@lru_cache(maxsize=1 << 14)
 def _compatible(c: str) -> str:
-    """Full- and half-width forms, ligatures, number forms and styled letters to plain ones."""
-    o = ord(c)
-    if 0xFF00 <= o <= 0xFFEF or 0xFB00 <= o <= 0xFB06 or 0x2160 <= o <= 0x217F or 0x1D400 <= o <= 0x1D7FF or o in (0x132, 0x133, 0x17F) or 0x1C4 <= o <= 0x1CC or 0x24B6 <= o <= 0x24E9:
-        return unicodedata.normalize("NFKC", c)
-    return c
+    """Full- and half-width forms, ligatures, number forms, styled, circled and positional letters to plain ones.
+
+    By Unicode's own mappings: those of width and style whole, those of
+    ligatures and circles where plain Latin letters come out. Raised and lowered
+    letters and fractions look different and stay.
+    """
+    tag = unicodedata.decomposition(c).partition(" ")[0]
+    if tag not in ("<wide>", "<narrow>", "<font>", "<compat>", "<circle>", "<isolated>", "<initial>", "<medial>", "<final>"):
+        return c
+    plain = unicodedata.normalize("NFKC", c)
+    if tag in ("<compat>", "<circle>"):
+        letters = unicodedata.normalize("NFD", plain)
+        return plain if letters[0].isalpha() and all(x.isascii() and not x.isspace() or x in "·ʼ" or unicodedata.combining(x) for x in letters) else c
+    return plain if tag in ("<wide>", "<narrow>", "<font>") or len(plain) <= 3 else c
 
 
 @lru_cache(maxsize=1 << 16)
@@ -93,23 +114,34 @@ def table_form(token: str) -> str:
         s = t
 
 
-def skeleton(token: str) -> str:
-    """Class of all tokens at distance zero: the table's form without regard to which script is meant."""
-    s = table_form(token).translate(_TO_LATIN).replace("ः", ":")
-    return unicodedata.normalize("NFD", s)
+_VOWELS = re.compile("[ऄ-औॠॡॲ-ॷ]")
+
+
+def head(token: str) -> str:
+    """The first base letters: without marks, ignorables and colons, look-alikes as Latin, vowels of one script as one."""
+    if token.isascii() and token.isprintable():
+        return token.replace(":", "")[:HEAD]
+    out = ""
+    for c in token:
+        if _ignorable(c) or c in COLONS or c == ":":
+            continue
+        for x in unicodedata.normalize("NFD", _compatible(c)).translate(_TO_LATIN):
+            if unicodedata.category(x)[0] != "M" and x != ":":
+                out += x
+        if len(out) >= HEAD:
+            break
+    return _VOWELS.sub("अ", out[:HEAD])
 
 
 class Automaton:
-    """Plain tokens in a trie; walks it along a dirty token at weight zero."""
+    """Plain tokens in a trie, and the walk along a dirty token."""
 
     def __init__(self) -> None:
-        self.root: dict = {}
+        self.counts: dict[str, tuple[int, str]] = {}
+        self.tokens: list[str] = []
 
     def add(self, token: str, n: int) -> None:
-        node = self.root
-        for c in unicodedata.normalize("NFD", token):
-            node = node.setdefault(c, {})
-        node[""] = (n, token)
+        self.counts[unicodedata.normalize("NFD", token)] = (n, token)
 
     @staticmethod
     @lru_cache(maxsize=1 << 16)
@@ -132,29 +164,40 @@ class Automaton:
                 out.append((q, i + 3))
         return tuple(dict.fromkeys(out))
 
-    def canonical(self, token: str) -> str | None:
-        """The most frequent plain token at distance zero; ties: the least in code point order."""
-        token = unicodedata.normalize("NFD", token)
-        best: tuple[int, str] | None = None
-        stack, seen = [(0, self.root)], set()
-        while stack:
-            i, node = stack.pop()
-            if (i, id(node)) in seen:
-                continue
-            seen.add((i, id(node)))
-            if i == len(token):
-                if "" in node and (best is None or (-node[""][0], node[""][1]) < best):
-                    best = (-node[""][0], node[""][1])
+    def canonical(self, token: str, cutoff: float = CUTOFF) -> str | None:
+        """The plain token of least weight below ``cutoff``; ties: the most frequent, then the least in code point order."""
+        if len(self.tokens) != len(self.counts):
+            self.tokens = sorted(self.counts)
+        token, tokens = unicodedata.normalize("NFD", token), self.tokens
+        weigh = lambda c: MARK if unicodedata.combining(c) or unicodedata.category(c)[0] == "M" else LETTER
+        best: tuple[float, int, str] | None = None
+        heap, seen = [(0.0, 0, "", 0, len(tokens))], set()  # weight, place in the token, letters read on the trie, range of the node
+        while heap:
+            cost, i, path, lo, hi = heapq.heappop(heap)
+            if best is not None and cost > best[0]:
+                break
+            if (i, path) in seen:
                 continue
-            for letters, j in self._steps(token, i):
-                at = node
-                for c in letters:
-                    at = at.get(c)
-                    if at is None:
-                        break
-                if at is not None:
-                    stack.append((j, at))
-        return best and unicodedata.normalize("NFC", best[1])
+            seen.add((i, path))
+            if i == len(token) and tokens[lo] == path:
+                n, plain = self.counts[path]
+                best = min(best or (cost, 1, ""), (cost, -n, plain)) if best else (cost, -n, plain)
+            moves = [(0.0, letters, j) for letters, j in self._steps(token, i)] if i < len(token) else []
+            if cost + MARK < cutoff:  # edits that can be seen: drop, change or add a letter
+                if i < len(token):
+                    moves.append((weigh(token[i]), "", i + 1))
+                for c in {t[len(path)] for t in tokens[lo:hi] if len(t) > len(path)}:
+                    moves.append((weigh(c), c, i))
+                    if i < len(token):
+                        moves.append((max(weigh(c), weigh(token[i])), c, i + 1))
+            for w, letters, j in moves:
+                if cost + w >= cutoff:
+                    continue
+                to = path + letters
+                a, z = (bisect_left(tokens, to, lo, hi), bisect_left(tokens, to + "\U0010ffff", lo, hi)) if letters else (lo, hi)
+                if a < z:
+                    heapq.heappush(heap, (cost + w, j, to, a, z))
+        return best and unicodedata.normalize("NFC", best[2])
 
 
 #: Ordinary letters: printable ASCII, composed Latin, Devanagari without precomposed nukta letters.
@@ -172,17 +215,17 @@ def looks_plain(col: Column) -> Column:
 def canonical_tokens(tokens: DataFrame) -> DataFrame:
     """(token, form) of every dirty token of ``tokens`` (token, n, plain)."""
 
-    def skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([skeleton(t) for t in b.column(0).to_pylist()], pa.string())], names=["token", "n", "plain", "skel"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([head(t) for t in b.column(0).to_pylist()], pa.string())], names=["token", "n", "plain", "head"])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, last = Automaton(), None
         for b in batches:
             found, forms = [], []
-            for token, n, plain, skel in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if skel != last:  # sorted by skeleton, plain tokens first: nothing behind is reached again
-                    automaton, last = Automaton(), skel
+            for token, n, plain, at in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if at != last:  # sorted by head, plain tokens first: nothing behind is reached again
+                    automaton, last = Automaton(), at
                 if plain:
                     automaton.add(token, n)
                 else:
@@ -190,8 +233,8 @@ def canonical_tokens(tokens: DataFrame) -> DataFrame:
                     forms.append(automaton.canonical(token) or table_form(token))
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(forms, pa.string())], names=["token", "form"])
 
-    with_skeleton = tokens.select("token", "n", "plain").mapInArrow(skeletons, "token string, n long, plain boolean, skel string")
-    placed = with_skeleton.repartition("skel").sortWithinPartitions(F.col("skel"), F.col("plain").desc(), F.col("token"))
+    with_head = tokens.select("token", "n", "plain").mapInArrow(heads, "token string, n long, plain boolean, head string")
+    placed = with_head.repartition("head").sortWithinPartitions(F.col("head"), F.col("plain").desc(), F.col("token"))
     return placed.mapInArrow(walk, "token string, form string")
 
 
@@ -201,7 +244,7 @@ def canonical_values(values: DataFrame) -> DataFrame:
     Null values are left out. A value of nothing but blanks and ignorables has
     the form ''. The plain values serve as vocabulary.
     """
-    counted = values.where(F.col("value").isNotNull() & (F.col("value") != "")).groupBy("value").agg(F.count("*").alias("n")).withColumn("plain", looks_plain(F.col("value")))
+    counted = durable(values.where(F.col("value").isNotNull() & (F.col("value") != "")).groupBy("value").agg(F.count("*").alias("n")).withColumn("plain", looks_plain(F.col("value"))))
     tokens = counted.select("n", "plain", F.explode(F.split("value", _SPLIT)).alias("token")).where("token <> ''")
     # a plain token within a dirty value is vocabulary, too
     tokens = tokens.groupBy("token").agg(F.sum("n").alias("n")).withColumn("plain", looks_plain(F.col("token")))

@@ -48,13 +48,43 @@ def test_survivor_fields(spark):
     assert items.where("dup_key = 'none'").count() == 1 and items.where("dup_key = 'ghar'").count() == 6
 
 
-def test_survivor_resent_rows_vote_once_and_sums_count(spark):
-    d = lambda s: T0 + timedelta(seconds=s)
-    # an old value sent again often does not outvote the new one; two votes of one age outweigh one
-    rows = [("k", "अ", "old text", 0.1, "WordNet", None, d(0))] * 50 + [("k", "आ", "new text", 0.9, "Wiktionary", None, d(9000))]
+def test_survivor_votes_decide(spark):
+    d = lambda h: T0 + timedelta(hours=h)
+    # an old value sent again often does not outvote a new one of the same trust
+    rows = [("k", "अ", "old text", 0.1, "WordNet", None, d(0))] * 50 + [("k", "आ", "new text", 0.9, "WordNet", None, d(2.5))]
     assert best(spark, rows)["k"].definition_en == "new text"
+    # agreement outweighs a newer single vote, trust outweighs two hours, and weeks outweigh trust
     rows = [("k", None, "one text", None, "Wiktionary", None, d(2)), ("k", None, "two text", None, "Wiktionary", None, d(0)), ("k", None, "two text", None, "Wiktionary", None, d(1))]
     assert best(spark, rows)["k"].definition_en == "two text"
+    five = [("k", None, "trusted text", None, "WordNet", None, d(i / 10)) for i in range(5)] + [("k", None, "newer text", None, "unnamed", None, d(2))]
+    assert best(spark, five)["k"].definition_en == "trusted text"
+    one = [("k", None, "trusted text", None, "WordNet", None, d(0)), ("k", None, "newer text", None, "unnamed", None, d(2))]
+    late = [one[0], ("k", None, "newer text", None, "unnamed", None, d(24 * 30))]
+    assert best(spark, one)["k"].definition_en == "trusted text" and best(spark, late)["k"].definition_en == "newer text"
+    df = spark.createDataFrame([(*r, "clash") for r in late], ENTRY)
+    slow = survivor.best_records(df, survivor.duplicate_key(F.col("word_hinglish_roman")), half_lives={"WordNet": 10 * 365 * 86_400}).first()
+    assert slow.definition_en == "trusted text"
+    # votes older than the oldest that are told apart: the newer value
+    old = [("k", None, "first text", None, "WordNet", None, datetime(1971, 1, 1)), ("k", None, "second text", None, "WordNet", None, datetime(1972, 1, 1)), ("k", None, None, None, "WordNet", None, T0)]
+    assert best(spark, old)["k"].definition_en == "second text"
+
+
+def test_survivor_cut_offs_of_any_length(spark):
+    d = lambda h: T0 + timedelta(hours=h)
+    for cut in ("s", "sta", "stat", "station by"):
+        rows = [("k", None, "station by the river", None, "s", None, d(0)), ("k", None, cut, None, "s", None, d(900)), ("k", None, "other", None, "s", None, datetime(2020, 1, 1))]
+        assert best(spark, rows)["k"].definition_en == "station by the river"
+    # over many partitions: the neighbour may stand at the start of the next one
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = [(f"g{g:02d}", None, "abcdefghij"[:n], None, "s", None, d(20 - n)) for g in range(30) for n in range(1, 11)]
+        got = best(spark, rows)
+        assert len(got) == 30 and {r.definition_en for r in got.values()} == {"abcdefghij"}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_survivor_hot_group_and_empty(spark):
@@ -223,6 +253,22 @@ def test_automaton_takes_the_frequent_spelling():
     a.add("ghar", 3)
     a.add("gharа"[:4], 1)
     assert a.canonical("gh‍aг"[:4] + "r") == "ghar" and a.canonical("ghaar") is None
+    b = visual.Automaton()
+    for w, n in (("café", 2), ("cafe", 9), ("cafes", 1), ("कोट", 1)):
+        b.add(w, n)
+    # what can be seen has a weight, so it takes a higher cut-off; a mark weighs less than a letter
+    assert b.canonical("сafè") is None and b.canonical("сafè", 0.8) == "cafe" and b.canonical("caf") is None and b.canonical("caf", 1.5) == "cafe"
+    assert b.canonical("cafe\u0301") == "café" and b.canonical("काेट") == "कोट" and b.canonical("") is None
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(list("aghrघरािेाैंः़ज़फ़अआउऊए:é") + ["‍", "́", "а", "ｈ", "﻿", "ﬁ", "𝐚"]), max_size=8))
+def test_like_looking_tokens_share_their_head(token):
+    assert visual.head(token) == visual.head(visual.table_form(token))
+
+
+def test_compatible_letters_come_from_unicode():
+    assert [visual.table_form(c) for c in "ｇ𝒢ℊⓖﬂⅣﾊ"] == ["g", "G", "g", "g", "fl", "IV", "ハ"] and [visual.table_form(c) for c in ("²", "½", "ำ", "ª")] == ["²", "½", "ำ", "ª"]
 
 
 def test_plain_values_keep_their_form(spark):
