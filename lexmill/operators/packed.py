@@ -3,22 +3,26 @@
 The text is read by a parsing expression grammar (PEG): alternatives are tried
 in order and a failed one gives its input back.
 
-    field    <- blank* (bracketed / list) blank* end
-    bracketed<- open list close                     open/close: [] {} ()
+    field    <- blank* (wrapped / list) blank* end
+    wrapped  <- open list close                     the brackets of the whole text: [] {} () and others
     list     <- item (separator item)*              empty items are dropped
-    item     <- number? blank* (quoted / bare)
-    quoted   <- q (escape / doubled / char)* q  followed by separator, number or end
-    bare     <- (!separator !number char)*
+    item     <- number? blank* (quoted / nothing / value)
+    quoted   <- q (escape / doubled / char)* q      followed by separator, number or end
+    nothing  <- "null" / "None"                     in a square list that has a quoted item
+    value    <- (bracketed / inner / !separator !number char)*
+    bracketed<- open (bracketed / char)* close      separators inside part nothing; the value keeps its brackets
+    inner    <- blank q char* q                     a quoted part within a value, before a blank, separator or end
     number   <- "(1)" / "1)" / "1." with the next number in sequence
 
 A quote that never closes, or closes in the middle of a value, makes ``quoted``
-fail; the parser goes back to its start, reads the value as ``bare`` and flags
-it. Nothing is shuffled: a row's values depend on that row alone.
+fail; the parser goes back to its start, reads it as ``value`` and flags it. So
+does a bracket without its counterpart with ``bracketed``. Counterparts are
+found once per text, so going back costs no second search. Nothing is shuffled:
+a row's values depend on that row alone.
 """
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterable, Iterator
 
@@ -33,16 +37,37 @@ QUOTES = {'"': '"', "'": "'", "“": "”", "‘": "’", "«": "»", "„": "
 #: Opening bracket -> closing bracket.
 BRACKETS = {"[": "]", "{": "}", "(": ")", "【": "】"}
 
+_CLOSING = frozenset(BRACKETS.values())
 _NUMBER = re.compile(r"\(?(\d{1,4})[.)](?=\s|[^\W\d]|[\"'“‘«])")
 _BLANK = re.compile(r"\s*")
 _ESCAPES = {"n": "\n", "t": "\t", "r": "\r"}
 
 
+def _counterparts(s: str) -> dict[int, int]:
+    """Place of each opening bracket that has its closing one -> place of that."""
+    out: dict[int, int] = {}
+    open_: dict[str, list[int]] = {}
+    order: list[tuple[int, str]] = []
+    for i, c in enumerate(s):
+        if c in BRACKETS:
+            order.append((i, BRACKETS[c]))
+            open_.setdefault(BRACKETS[c], []).append(i)
+        elif c in _CLOSING and open_.get(c):
+            while True:  # brackets opened since then and not closed have no counterpart
+                at, close = order.pop()
+                open_[close].pop()
+                if close == c:
+                    out[at] = i
+                    break
+    return out
+
+
 class _Reader:
-    """One field text under the grammar. ``blank_separates``: values hold no blanks."""
+    """One field text under the grammar. ``blank_separates``: values are single words, so blanks separate and nothing is kept together."""
 
-    def __init__(self, text: str, blank_separates: bool):
-        self.s, self.n = text, len(text)
+    def __init__(self, text: str, blank_separates: bool, square: bool = False):
+        self.s, self.n, self.square = text, len(text), square
+        self.pairs = _counterparts(text) if any(c in BRACKETS for c in text) else {}
         self.seps = set(SEPARATORS) | ({" ", " "} if blank_separates else set())
         self.blank_separates = blank_separates
         self.numbered = False
@@ -99,16 +124,43 @@ class _Reader:
         k = self.blanks(j)
         return k >= self.n or self.s[k] in self.seps or (self.numbered and self.number(k) is not None)
 
-    def bare(self, i: int) -> tuple[str, int]:
-        j = i
+    def inner(self, i: int) -> int | None:
+        """End of the quoted part that begins at i, within a value."""
+        close = QUOTES.get(self.s[i])
+        if close is None or i == 0 or not self.s[i - 1].isspace():
+            return None
+        j = self.s.find(close, i + 1) + 1
+        return j if j and (j >= self.n or self.s[j].isspace() or self.s[j] in self.seps) else None
+
+    def value(self, i: int) -> tuple[str, int, set[str]]:
+        """The text up to the next separator outside of brackets and quoted parts, its end and flags."""
+        j, flags, closed = i, set(), set()
         while j < self.n and self.s[j] not in self.seps:
             if self.numbered and j > i and self.s[j - 1].isspace() and self.number(j) is not None:
                 break
+            c, end = self.s[j], None
+            if not self.blank_separates:
+                if c in BRACKETS and (at := self.pairs.get(j)) is not None:
+                    end = at + 1
+                elif c in QUOTES and j > i:
+                    end = self.inner(j)
+            if end is not None:
+                if any(x in self.seps for x in self.s[j:end]):
+                    flags.add("inner_separator")
+                j = end
+                continue
+            if c in BRACKETS and j not in self.pairs or c in _CLOSING and j not in closed:
+                if c in BRACKETS or not self.blank_separates:
+                    flags.add("unbalanced_bracket")
+            elif c in BRACKETS:
+                closed.add(self.pairs[j])
             j += 1
-        return self.s[i:j], j
+        return self.s[i:j], j, flags
 
     def values(self) -> tuple[list[str], set[str]]:
         out: list[str] = []
+        nothing: list[int] = []
+        any_quoted = False
         flags: set[str] = set()
         i = self.blanks(0)
         self.numbered = self.number(i) is not None
@@ -126,52 +178,53 @@ class _Reader:
                 break
             got = self.quoted(i)
             if got is None:
-                raw, i = self.bare(i)
+                raw, i, more = self.value(i)
+                flags |= more
                 value = raw.strip()
                 if value[:1] in QUOTES or value[-1:] in QUOTES.values():
                     trimmed = value.strip("\"“”«»„`")
                     trimmed = trimmed[1:] if trimmed[:1] in "'‘" and trimmed.count("'") + trimmed.count("‘") == 1 else trimmed
-                    if trimmed != value:
+                    if trimmed != value and "inner_separator" not in more:
                         flags.add("malformed_quote")
                         value = trimmed.strip()
+                elif self.square and value in ("null", "None"):
+                    nothing.append(len(out))
             else:
+                any_quoted = True
                 value, i = got[0].strip(), got[1]
             if value:
                 out.append(value)
+        if any_quoted and nothing:
+            out = [v for k, v in enumerate(out) if k not in set(nothing)]
         return out, flags
 
 
 def parse_packed(text: str | None, blank_separates: bool = False) -> tuple[list[str], str]:
     """(values in order, error flags joined by "|").
 
-    Null and blank texts hold no value. A bracket that is opened and not closed
-    (or the reverse) is dropped and flagged ``unbalanced_bracket``; a quote that
-    does not enclose a value is flagged ``malformed_quote``.
+    Null and blank texts hold no value. A bracket around the whole text that is
+    opened and not closed (or the reverse) is dropped; it and any bracket without
+    its counterpart is flagged ``unbalanced_bracket``. A quote that does not
+    enclose a value is flagged ``malformed_quote``; a value whose brackets or
+    quoted parts hold separators is kept whole and flagged ``inner_separator``.
     """
     s = (text or "").strip()
     flags: set[str] = set()
     if not s:
         return [], ""
-    if s[0] in "[{":
-        close = BRACKETS[s[0]]
-        if s[-1] == close:
-            if s[0] == "[":
-                try:  # the strictest alternative first
-                    got = json.loads(s)
-                    if isinstance(got, list) and all(x is None or isinstance(x, str | int | float) for x in got):
-                        return [v for x in got if x is not None and (v := str(x).strip())], ""
-                except ValueError:
-                    pass
-            s = s[1:-1]
-        else:
+    square = False
+    if s[0] in BRACKETS or s[-1] in _CLOSING:
+        pairs = _counterparts(s)
+        if pairs.get(0) == len(s) - 1:
+            if s[0] in "[{" or not _NUMBER.match(s):
+                square, s = s[0] == "[", s[1:-1]
+        elif s[0] in "[{" and 0 not in pairs:
             s = s[1:]
             flags.add("unbalanced_bracket")
-    elif s[-1] in "]}" and not any(c in s for c in "[{"):
-        s = s[:-1]
-        flags.add("unbalanced_bracket")
-    elif s[0] in "(【" and s[-1] == BRACKETS[s[0]] and s.find(s[-1]) == len(s) - 1 and not _NUMBER.match(s):
-        s = s[1:-1]
-    out, more = _Reader(s, blank_separates).values()
+        elif s[-1] in "]}" and len(s) - 1 not in pairs.values():
+            s = s[:-1]
+            flags.add("unbalanced_bracket")
+    out, more = _Reader(s, blank_separates, square).values()
     return out, "|".join(sorted(flags | more))
 
 

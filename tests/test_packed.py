@@ -23,6 +23,22 @@ def test_backtracks_and_flags(raw, items, flag):
     assert parse_packed(raw) == (items, flag)
 
 
+@pytest.mark.parametrize(
+    ("raw", "items", "flags"),
+    [
+        ("a (b, c), d", ["a (b, c)", "d"], "inner_separator"), ("[a, [b, c], d]", ["a", "[b, c]", "d"], "inner_separator"), ("(a, b), (c, d)", ["(a, b)", "(c, d)"], "inner_separator"),
+        ('a "b, c" d', ['a "b, c" d'], "inner_separator"), ("[a], [b]", ["[a]", "[b]"], ""), ("(a, b)", ["a", "b"], ""), ("1) a (x, {y; z}) 2) b", ["a (x, {y; z})", "b"], "inner_separator"),
+        ("x (y, z", ["x (y", "z"], "unbalanced_bracket"), ("x) y, z", ["x) y", "z"], "unbalanced_bracket"), ("a (b [c, d), e", ["a (b [c, d)", "e"], "inner_separator"), ('["x", null, "null"]', ["x", "null"], ""), ("[x, null]", ["x", "null"], ""), ("a 'b, c", ["a 'b", "c"], ""),
+    ],
+)
+def test_brackets_and_inner_quotes_keep_their_separators(raw, items, flags):
+    assert parse_packed(raw) == (items, flags)
+
+
+def test_many_open_brackets_take_linear_time():
+    assert len(parse_packed("(a, " * 50_000)[0]) == 50_000
+
+
 def test_words_split_at_blanks():
     assert parse_packed("a b ,c", True)[0] == ["a", "b", "c"]
     assert parse_packed("1) a 2) b", True)[0] == ["a", "b"]
