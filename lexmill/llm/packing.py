@@ -10,13 +10,19 @@ and k rises by the excess whenever the capacity is exceeded and nothing closes.
 
 Blocks are cut from the stream of a partition, so nothing is shuffled, and a
 hot source, language or length cannot end up in one task. A block ends when it
-holds a fixed number of containers, so only its last container may be slack.
-An item larger than the capacity is cut into full containers and a rest.
+holds ``CONTAINERS_PER_BLOCK`` containers' worth of tokens or
+``ITEMS_PER_BLOCK`` items, whichever comes first (many small items per container
+fill it well even in fewer containers); only the block's last container may be
+slack. Which documents share a container depends on how the table is
+partitioned; that every document is packed once, whole if it can be, and within
+the capacity does not. An item larger than the capacity is cut into full
+containers and a rest.
 """
 
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -29,52 +35,72 @@ from lexmill.llm.bpe import TOKENIZER_DIR, count_tokens
 
 #: Containers a block fills; larger blocks waste less and cost more per item.
 CONTAINERS_PER_BLOCK = 320
+#: Items a block holds at most; bounds a task's memory where containers are large.
+ITEMS_PER_BLOCK = 6_400
 #: Windows filled this far are closed at once.
 FULL = 0.985
 
 
+class _Partial:
+    """A partial partition: loads of its windows, ascending, and the items in each."""
+
+    __slots__ = ("loads", "bins")
+
+    def __init__(self, loads: list[int], bins: list[list[int]]):
+        self.loads, self.bins = loads, bins
+
+    @property
+    def imbalance(self) -> int:
+        return self.loads[-1] - self.loads[0]
+
+    def add(self, size: int, item: int) -> None:
+        """Merge with a single item: onto the emptiest window."""
+        load, own = self.loads.pop(0) + size, self.bins.pop(0)
+        own.append(item)
+        at = bisect_right(self.loads, load)
+        self.loads.insert(at, load)
+        self.bins.insert(at, own)
+
+    def merge(self, other: _Partial) -> _Partial:
+        """The fullest windows of the other one onto the emptiest of this."""
+        both = sorted(zip([x + y for x, y in zip(self.loads, reversed(other.loads), strict=True)], range(len(self.loads)), strict=True))
+        theirs = other.bins[::-1]
+        return _Partial([load for load, _ in both], [self.bins[i] + theirs[i] for _, i in both])
+
+
 def differencing(sizes: Sequence[int], k: int) -> list[list[int]]:
-    """Deal items into k windows of near-equal sums; each window lists item numbers."""
-    sizes = [int(s) for s in sizes]
-    if not sizes:
-        return [[] for _ in range(k)]
-    # node: (loads above the least, sorted descending; tree). A tree is an item number, or
-    # (a, b, order): slot i holds what a's slot order[0][i] and b's slot order[1][i] hold
-    heap: list[tuple[int, int, np.ndarray, object]] = [(-s, i, np.array([s]), i) for i, s in enumerate(sizes)]
-    heapq.heapify(heap)
-    count = len(sizes)
-    while len(heap) > 1:
-        _, _, a, ta = heapq.heappop(heap)
-        _, _, b, tb = heapq.heappop(heap)
-        na, nb = len(a), len(b)
-        width = min(k, na + nb)
-        loads = np.zeros(width, np.int64)
-        loads[:na] = a
-        slot_b = width - 1 - np.arange(nb)  # fullest of b on the emptiest of a
-        loads[slot_b] += b
-        order = np.argsort(-loads, kind="stable")
-        loads = loads[order]
-        inverse_b = np.where(order >= width - nb, width - 1 - order, -1)
-        tree = (ta, tb, np.where(order < na, order, -1), inverse_b)
-        if width == k:  # only the differences count
-            loads = loads - loads[-1]
+    """Deal items into k windows of near-equal sums; each window lists item numbers.
+
+    The two partial partitions of largest imbalance are merged until one is
+    left. Single items have their size as imbalance; a partition that grows from
+    one keeps that imbalance while a window of it is empty, so it takes the next
+    largest single items, one a window, as long as no other partition's
+    imbalance is larger: such a run is merged at once.
+    """
+    if k == 1 or not len(sizes):
+        return [list(range(len(sizes))), *[[] for _ in range(k - 1)]]
+    single = sorted(((int(s), i) for i, s in enumerate(sizes)), key=lambda x: (-x[0], x[1]))
+    heap: list[tuple[int, int, _Partial]] = []
+    at = count = 0
+    while at < len(single) or len(heap) > 1:
         count += 1
-        heapq.heappush(heap, (-int(loads[0]), count, loads, tree))
-    bins: list[list[int]] = [[] for _ in range(k)]
-    stack: list[tuple[object, np.ndarray]] = [(heap[0][3], np.arange(k))]
-    while stack:
-        tree, slots = stack.pop()  # slots[i]: the window of the tree's slot i
-        if not isinstance(tree, tuple):
-            bins[int(slots[0])].append(tree)
-            continue
-        ta, tb, at_a, at_b = tree
-        for sub, at in ((ta, at_a), (tb, at_b)):
-            used = np.flatnonzero(at >= 0)
-            if len(used):
-                part = np.zeros(int(at[used].max()) + 1, np.int64)
-                part[at[used]] = slots[used]
-                stack.append((sub, part))
-    return bins
+        largest = -heap[0][0] if heap else -1
+        if at < len(single) and single[at][0] >= largest:
+            end = at + 1  # a run of single items, each at least as large as any imbalance
+            while end < len(single) and end - at < k and single[end][0] >= largest:
+                end += 1
+            run = single[at:end][::-1]
+            at = end
+            partial = _Partial([0] * (k - len(run)) + [s for s, _ in run], [[] for _ in range(k - len(run))] + [[i] for _, i in run])
+        else:
+            partial = heapq.heappop(heap)[2]
+            if at < len(single) and (not heap or single[at][0] >= -heap[0][0]):
+                partial.add(*single[at])
+                at += 1
+            else:
+                partial = partial.merge(heapq.heappop(heap)[2])
+        heapq.heappush(heap, (-partial.imbalance, count, partial))
+    return heap[0][2].bins[::-1]
 
 
 def fill(sizes: Sequence[int], capacity: int, full: float = FULL) -> list[list[int]]:
@@ -104,7 +130,7 @@ def fill(sizes: Sequence[int], capacity: int, full: float = FULL) -> list[list[i
     return closed
 
 
-def pack_documents(df: DataFrame, id_col: str, text_col: str, specs: Sequence[tuple[int, str, int]], tokenizer_dir: str = TOKENIZER_DIR, containers_per_block: int = CONTAINERS_PER_BLOCK) -> DataFrame:
+def pack_documents(df: DataFrame, id_col: str, text_col: str, specs: Sequence[tuple[int, str, int]], tokenizer_dir: str = TOKENIZER_DIR, containers_per_block: int = CONTAINERS_PER_BLOCK, items_per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
     """Put every document into containers of each spec (spec_id, tokenizer, capacity).
 
     One row per piece: spec_id, container (string, unique within the spec), id,
@@ -119,7 +145,7 @@ def pack_documents(df: DataFrame, id_col: str, text_col: str, specs: Sequence[tu
         own = [(int(s), int(c)) for s, t, c in specs if t == tokenizer]
         if any(c <= 0 for _, c in own):
             raise ValueError("a capacity must be positive")
-        part = _pack_sizes(count_tokens(df, id_col, text_col, tokenizer, tokenizer_dir).withColumnsRenamed({id_col: "id"}), own, containers_per_block).withColumnRenamed("id", id_col)
+        part = _pack_sizes(count_tokens(df, id_col, text_col, tokenizer, tokenizer_dir).withColumnsRenamed({id_col: "id"}), own, containers_per_block, items_per_block).withColumnRenamed("id", id_col)
         out = part if out is None else out.unionByName(part)
     if out is None:
         id_type = dict(df.select(F.col(id_col).alias("i")).dtypes)["i"]
@@ -127,7 +153,7 @@ def pack_documents(df: DataFrame, id_col: str, text_col: str, specs: Sequence[tu
     return out
 
 
-def _pack_sizes(sizes: DataFrame, specs: list[tuple[int, int]], containers_per_block: int) -> DataFrame:
+def _pack_sizes(sizes: DataFrame, specs: list[tuple[int, int]], containers_per_block: int, items_per_block: int) -> DataFrame:
     id_type = dict(sizes.dtypes)["id"]
     names = ["spec_id", "container", "id", "piece", "start", "n_tokens", "capacity"]
     types = [pa.int32(), pa.string(), None, pa.int32(), pa.int64(), pa.int64(), pa.int32()]
@@ -168,7 +194,7 @@ def _pack_sizes(sizes: DataFrame, specs: list[tuple[int, int]], containers_per_b
                 for spec, capacity in specs:
                     open_[spec].append((i, tokens))
                     held[spec] += tokens
-                    if held[spec] >= containers_per_block * capacity or len(open_[spec]) >= 20 * containers_per_block:
+                    if held[spec] >= containers_per_block * capacity or len(open_[spec]) >= items_per_block:
                         yield close(spec, capacity)
         for spec, capacity in specs:
             if open_[spec]:
