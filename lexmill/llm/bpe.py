@@ -6,8 +6,9 @@ the active pairs are merged in ascending order of rank, each at all its
 positions at once, and only the lists of the affected neighbours change.
 
 No shuffle, no join: a task needs the vocabulary (a fixed file of 0.8 MB, read
-once per worker from ``tokenizer_dir``) and its own rows. The pieces' ids are
-kept between batches of a worker, in a table of bounded size.
+from ``tokenizer_dir`` by the driver and sent along with the job) and its own
+rows. The ids of pieces and pairs are kept between batches of a worker, in
+tables of bounded size.
 
 Defined results: empty text -> [], null text -> [].
 """
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 TOKENIZER_DIR = "/opt/tokenizers"
 #: Pieces kept per worker, and the longest piece kept.
 CACHE_PIECES, CACHE_CHARS = 400_000, 64
+#: Pairs kept per worker, with or without a merge.
+CACHE_PAIRS = 2_000_000
 
 #: Fixed value: the white space of the Unicode property.
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -50,20 +53,34 @@ def vocabulary(name: str, tokenizer_dir: str = TOKENIZER_DIR) -> dict[bytes, int
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-@lru_cache(maxsize=4)
-def _tables(name: str, tokenizer_dir: str) -> tuple[list[int], dict[int, int], list[bytes]]:
-    """Ids of the single bytes; an empty table of merges, filled as pairs are met; bytes by id."""
-    ranks = vocabulary(name, tokenizer_dir)
-    back = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        back[rank] = token
-    return [ranks[bytes([b])] for b in range(256)], {}, back
+class Tables:
+    """What merging needs of a vocabulary: ids of the single bytes, bytes by id, and the merges met so far."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.single = [ranks[bytes([b])] for b in range(256)]
+        self.back = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.back[rank] = token
+        self.known: dict[int, int] = {}
+
+
+_ready: dict[tuple[str, str], Tables] = {}
+
+
+def _tables(name: str, tokenizer_dir: str, ranks: dict[bytes, int] | None = None) -> Tables:
+    """Built once per worker, from ``ranks`` or else from the file."""
+    key = name, tokenizer_dir
+    if key not in _ready:
+        _ready[key] = Tables(ranks if ranks is not None else vocabulary(name, tokenizer_dir))
+    return _ready[key]
 
 
-def merge_words(words: list[bytes], name: str, tokenizer_dir: str = TOKENIZER_DIR) -> list[list[int]]:
+def merge_words(words: list[bytes], tables: Tables) -> list[list[int]]:
     """Token ids of each word, all words merged together over one pair index."""
-    ranks = vocabulary(name, tokenizer_dir)
-    single, known, back = _tables(name, tokenizer_dir)
+    ranks, single, known, back = tables.ranks, tables.single, tables.known, tables.back
+    if len(known) > CACHE_PAIRS:
+        known.clear()
 
     def merged(a: int, b: int) -> int:
         """Id of the pair's merge, -1 if it has none."""
@@ -119,8 +136,8 @@ def merge_words(words: list[bytes], name: str, tokenizer_dir: str = TOKENIZER_DI
 class Encoder:
     """Encodes batches of texts; keeps the ids of short pieces."""
 
-    def __init__(self, name: str, tokenizer_dir: str = TOKENIZER_DIR):
-        self.name, self.dir = name, tokenizer_dir
+    def __init__(self, name: str, tokenizer_dir: str = TOKENIZER_DIR, ranks: dict[bytes, int] | None = None):
+        self.tables = _tables(name, tokenizer_dir, ranks)
         self.kept: dict[str, array] = {}
 
     def pieces(self, pieces: Iterable[str]) -> dict[str, array]:
@@ -128,7 +145,7 @@ class Encoder:
         pieces = list(pieces)
         split = [[w.encode("utf-8", "surrogatepass") for w in _WORDS.findall(p)] for p in pieces]
         words = list({w for ws in split for w in ws})
-        ids = dict(zip(words, merge_words(words, self.name, self.dir), strict=True))
+        ids = dict(zip(words, merge_words(words, self.tables), strict=True))
         return {p: array("i", [t for w in ws for t in ids[w]]) for p, ws in zip(pieces, split, strict=True)}
 
     def encode_batch(self, texts: list[str | None]) -> list[array]:
@@ -167,9 +184,10 @@ def encode_corpus(df: DataFrame, id_col: str, text_col: str, tokenizer: str = "b
     columns named are read, so others may have any name.
     """
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    ranks = df.sparkSession.sparkContext.broadcast(vocabulary(tokenizer, tokenizer_dir))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, tokenizer_dir)
+        encoder = Encoder(tokenizer, tokenizer_dir, ranks.value)
         for b in batches:
             texts = b.column(1).to_pylist()
             for lo, hi in _blocks(texts):
@@ -187,9 +205,10 @@ def encode_corpus(df: DataFrame, id_col: str, text_col: str, tokenizer: str = "b
 def count_tokens(df: DataFrame, id_col: str, text_col: str, tokenizer: str = "byte_bpe_50k", tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
     """(id, n_tokens bigint) of every row; null and empty texts have 0."""
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    ranks = df.sparkSession.sparkContext.broadcast(vocabulary(tokenizer, tokenizer_dir))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, tokenizer_dir)
+        encoder = Encoder(tokenizer, tokenizer_dir, ranks.value)
         for b in batches:
             texts, sizes = b.column(1).to_pylist(), array("q")
             for lo, hi in _blocks(texts):
