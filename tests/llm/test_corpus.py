@@ -182,6 +182,36 @@ def judge():
     return content.train(labelled, [(None, [t]) for t in good], [(" Zarbol", "abuse"), ("मूरझी", "hate"), (None, None), ("", "abuse")])
 
 
+def every_reading(token, lm):
+    """The cheapest of all paths through the lattice."""
+    best = []
+    for path in itertools.product(*content.readings(token, lm.alphabet)):
+        text = "".join(x for x, _ in path)
+        s, cost = "^" + text + "$", sum(c for _, c in path)
+        best.append((cost - sum(np.log(lm.p(s[max(0, i - lm.order + 1) : i], s[i])) for i in range(1, len(s))), text))
+    return min(best)[1]
+
+
+@pytest.mark.parametrize("token", ["h**s*", "*i*e*", "h0u5e", "r1v3r", "ri**er", "b-o-a-t", "b00aat", "****", "hooouse"])
+def test_decoding_is_exact(token):
+    lm = content.CharLM({"house": 3.0, "river": 2.0, "boat": 2.0, "horse": 1.5, "rice": 1.0, "hive": 1.0})
+    lm.alphabet = lm.alphabet[:6] if token.count("*") > 3 else lm.alphabet
+    want = every_reading(token, lm)
+    assert content.decode(token, lm) == want
+    before = content.BEAM
+    try:
+        content.BEAM = 1  # the first pass only bounds the second
+        assert content.decode(token, lm) == want
+    finally:
+        content.BEAM = before
+
+
+def test_long_tokens_are_decoded_whole(judge):
+    lm = content.CharLM({"house": 3.0, "river": 2.0})
+    assert content.decode("h0use" * 400, lm) == "house" * 400
+    assert content.decode("r1ver" + "r" * 5000, lm).startswith("river") and content.decode("h" + "*" * 3000 + "e", lm)
+
+
 def test_restores_disguises(judge):
     r = content.Restorer(judge.lm, judge.headword_terms)
     for raw in ("z@rb0l", "z-a-r-b-o-l", "zaaarbol", "z*rbol", "ｚarbol", "zаrbol", "zar​bol", "ZARBOL", "zarbol!", "z.arbol"):
@@ -312,7 +342,7 @@ def test_encoding_equals_the_library():
     got = bpe.Encoder("byte_bpe_50k").encode_batch(texts)
     assert [list(x) for x in got] == [lib.encode_ordinary(t) for t in texts]
     words = [t.encode() for t in texts if len(t) < 100]
-    assert bpe.merge_words(words, "byte_bpe_50k") == [slow_bpe(w, ranks) if w else [] for w in words]
+    assert bpe.merge_words(words, bpe._tables("byte_bpe_50k", bpe.TOKENIZER_DIR)) == [slow_bpe(w, ranks) if w else [] for w in words]
 
 
 @needs_vocabulary
@@ -349,6 +379,41 @@ def test_differencing_balances():
     assert packing.differencing([5, 5, 5], 4).count([]) == 1 and packing.differencing([], 2) == [[], []]
 
 
+def slow_differencing(sizes, k):
+    """Imbalance in the end, merging one pair of partial partitions at a time; None if the choice of a pair was open."""
+    nodes = [[0] * (k - 1) + [s] for s in sizes]
+    while len(nodes) > 1:
+        nodes.sort(key=lambda n: n[-1] - n[0])
+        if len(nodes) > 2 and nodes[-3][-1] - nodes[-3][0] == nodes[-2][-1] - nodes[-2][0]:
+            return None
+        a, b = nodes.pop(), nodes.pop()
+        nodes.append(sorted(x + y for x, y in zip(a, b[::-1], strict=True)))
+    return nodes[0][-1] - nodes[0][0]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 100_000), min_size=1, max_size=40, unique=True), st.integers(2, 6))
+def test_runs_of_single_items_change_nothing(sizes, k):
+    bins = packing.differencing(sizes, k)
+    assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
+    loads = sorted(sum(sizes[i] for i in b) for b in bins)
+    want = slow_differencing(sizes, k)
+    assert want is None or loads[-1] - loads[0] == want
+
+
+@needs_vocabulary
+def test_packing_holds_for_any_partitioning(spark):
+    texts = [(i, "word " * (i * 7 % 300)) for i in range(400)]
+    fills = []
+    for parts in (1, 3, 8):
+        df = spark.createDataFrame(texts, "doc_id long, text string").repartition(parts)
+        packed = packing.pack_documents(df, "doc_id", "text", [(1, "byte_bpe_50k", 512)], containers_per_block=20, items_per_block=150)
+        assert packed.where("container <> 'none'").groupBy("container").agg(F.sum("n_tokens").alias("n")).where("n > 512").count() == 0
+        assert packed.count() == 400 and packed.select("doc_id").distinct().count() == 400
+        fills.append(packing.packing_report(packed).first().fill)
+    assert min(fills) > 0.9
+
+
 def test_fill_wastes_little():
     r = np.random.default_rng(3)
     for top in (60, 250):
