@@ -5,7 +5,8 @@ pooling over the window, softmax) is trained in numpy on labelled texts and
 applied to fixed-length windows of bytes, one per word, in batches. A text's
 stretches are the most probable path through its words' scores, where a stretch
 has at least ``MIN_RUN`` words: single borrowed, quoted or bracketed words and
-names stay in the stretch around them.
+names stay in the stretch around them. A stretch most of whose words are in
+neither script is ``OTHER``.
 
 Training reads a bounded sample of labelled rows (``sample_rows``), chosen by a
 hash of the text, so the same rows at every run. Applying it is a map over
@@ -27,7 +28,9 @@ from lexmill.plans.runtime import bounded_sample
 
 #: Languages told apart.
 LANGS = ("en", "hi", "hi-Latn", "mr")
-#: Rows of the training sample.
+#: Any other language.
+OTHER = "und"
+#: Rows of the training sample, all of them labelled.
 SAMPLE_ROWS = 16_000
 #: Bytes in a window, filter widths, filters of each width, embedding size.
 WINDOW, WIDTHS, FILTERS, DIM = 24, (2, 3, 4, 5), 24, 12
@@ -48,6 +51,7 @@ _STRIP = "^[\\s\\x{85}\\p{Z}]+|[\\s\\x{85}\\p{Z}]+$"
 #: A word: no blank or dividing mark inside, with a letter; its outer marks are no part of it.
 _TOKEN = re.compile(r"[^\s—–;,|/।…=()\[\]{}«»“”\"]+")
 _EDGES = re.compile(r"^[^\wऀ-ॣ]+|[^\wऀ-ॣ]+$")
+_OURS = re.compile(r"[A-Za-zÀ-ɏऀ-ॿ]")
 _LETTER = re.compile(r"[^\W\d_]")
 _MARK = re.compile(r"[^\w\sऀ-ॣ'’]|\n")
 
@@ -220,12 +224,13 @@ def word_scores(model: ByteCNN, words: list[str]) -> dict[str, np.ndarray]:
 
 
 def _fit(model: ByteCNN, x: np.ndarray, target: np.ndarray, weight: np.ndarray, epochs: int, batch: int, rate: float, seed: int) -> ByteCNN:
-    """Adam over shuffled batches; more epochs, of as many steps, on small samples."""
+    """Adam over shuffled batches; more epochs, of as many steps, on small samples. The weights are the mean over the last third of the epochs."""
     r = np.random.default_rng(seed)
     params = model.parameters()
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     epochs = max(epochs, min(60, 25 * epochs * batch // max(len(x), 1)))
-    t = 0
+    t, late = 0, [np.zeros_like(p, np.float64) for p in params]
+    taken = max(epochs // 3, 1)
     for epoch in range(epochs):
         order = r.permutation(len(x))
         step = rate * (1 - epoch / epochs) + rate * 0.05
@@ -236,6 +241,11 @@ def _fit(model: ByteCNN, x: np.ndarray, target: np.ndarray, weight: np.ndarray,
                 a += 0.1 * (g - a)
                 b += 0.001 * (g * g - b)
                 p -= step * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.999**t)) + 1e-8)
+        if epoch >= epochs - taken:
+            for p, mean in zip(params, late, strict=True):
+                mean += p / taken
+    for p, mean in zip(params, late, strict=True):
+        p[...] = mean
     return model
 
 
@@ -331,8 +341,8 @@ def stretches(scores: list[np.ndarray], costs: list[list[float]], min_run: int =
 
 def training_sample(df: DataFrame, text: str, label: str, sample_rows: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
     """At most ``sample_rows`` labelled texts, by hash order."""
-    rows = bounded_sample(df.select(F.col(text).alias("t"), F.col(label).alias("y")), ["t", "y"], sample_rows)
-    rows = rows.select("t", canonical_label(F.col("y")).alias("y")).where(F.col("y").isin(*LANGS, "mixed") & F.col("t").isNotNull())
+    labelled = df.select(F.col(text).alias("t"), canonical_label(F.col(label)).alias("y")).where(F.col("y").isin(*LANGS, "mixed") & F.col("t").isNotNull())
+    rows = bounded_sample(labelled, ["t", "y"], sample_rows)
     return [(r.t, r.y) for r in rows.collect()]
 
 
@@ -341,7 +351,8 @@ def label_languages(df: DataFrame, id_col: str, text: str, model: ByteCNN) -> Da
 
     seg 0 is the whole text: its language, or "mixed" if it has stretches in two
     or more; its confidence is the weakest stretch's. seg 1, 2, ... are the
-    stretches of a mixed text in order. A null or blank text, or one without a letter, has only
+    stretches of a mixed text in order. A text or stretch most of whose words hold
+    no letter of either script is ``OTHER``. A null or blank text, or one without a letter, has only
     seg 0 with lang null and confidence 0. Repeated ids stay.
     """
     src = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
@@ -377,9 +388,10 @@ def label_languages(df: DataFrame, id_col: str, text: str, model: ByteCNN) -> Da
                 at = hi
             rows, seg, lang, conf, first, many = [], [], [], [], [], []
             for i, runs in enumerate(found):
-                whole = None if not runs else LANGS[runs[0][2]] if len(runs) == 1 else "mixed"
-                for s, (a, n, y, c) in enumerate([(0, sum(r[1] for r in runs), whole, min((r[3] for r in runs), default=0.0)), *(runs if len(runs) > 1 else [])]):
-                    rows.append(i), seg.append(s), lang.append(y if s == 0 else LANGS[y]), conf.append(c), first.append(a), many.append(n)
+                named = [(a, n, OTHER if 2 * sum(1 for w in texts[i][a : a + n] if not _OURS.search(w)) > n else LANGS[y], c) for a, n, y, c in runs]
+                whole = None if not named else named[0][2] if len(named) == 1 else "mixed"
+                for s, (a, n, y, c) in enumerate([(0, sum(r[1] for r in runs), whole, min((r[3] for r in runs), default=0.0)), *(named if len(named) > 1 else [])]):
+                    rows.append(i), seg.append(s), lang.append(y), conf.append(c), first.append(a), many.append(n)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(seg, pa.int64()), pa.array(lang, pa.string()), pa.array(conf, pa.float64()), pa.array(first, pa.int64()), pa.array(many, pa.int64())], names=["id", "seg", "lang", "confidence", "first_word", "n_words"])
 
     return src.mapInArrow(run, f"id {id_type}, seg long, lang string, confidence double, first_word long, n_words long").withColumnRenamed("id", id_col)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.bpe import encode_corpus
 from lexmill.llm.content import content_model, score_content
-from lexmill.llm.langid import canonical_label, label_languages, train, training_sample
+from lexmill.llm.langid import OTHER, canonical_label, label_languages, train, training_sample
 from lexmill.llm.packing import pack_documents, packing_report
 from lexmill.llm.reading import reading_levels
 from lexmill.llm.survivor import best_records, duplicate_key, survivor_items
@@ -39,7 +39,7 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     model = train(training_sample(entries, "definition", "definition_lang"))
     # the label travels with the id, so that nothing has to be joined back
     tagged = entries.select(F.struct("rec_id", canonical_label(F.col("definition_lang")).alias("label")).alias("tag"), "definition")
-    found = label_languages(spread(tagged), "tag", "definition", model).where(F.col("lang").isNotNull())
+    found = label_languages(spread(tagged), "tag", "definition", model).where(F.col("lang") != OTHER)
     wrong = (F.col("seg") > 0) | ~F.col("tag.label").eqNullSafe(F.col("lang"))
     return found.where(wrong).select("tag.rec_id", "seg", "lang")
 

@@ -142,6 +142,17 @@ def test_short_cut_keeps_stretches_with_a_shared_word():
     assert took > 100
 
 
+def test_other_scripts(spark, cnn):
+    rows = [(1, "старый дом стоит у реки"), (2, EN[0] + ". старый дом стоит у реки"), (3, EN[0] + " старый")]
+    got = [(r.rec_id, r.seg, r.lang) for r in langid.label_languages(spark.createDataFrame(rows, "rec_id long, definition string"), "rec_id", "definition", cnn).collect()]
+    assert (1, 0, langid.OTHER) in got and (3, 0, "en") in got
+
+
+def test_training_takes_labelled_rows_only(spark):
+    rows = [(EN[i % 4] + f" {i}", "en" if i % 50 == 0 else None) for i in range(2000)]
+    assert len(langid.training_sample(spark.createDataFrame(rows, "t string, y string"), "t", "y", 40)) == 40
+
+
 def test_label_ways(spark):
     ways = {"hi": "hi", " HIN ": "hi", "Hindi": "hi", "hi-Deva": "hi", "hi_IN": "hi", "hi_Latn": "hi-Latn", "Hinglish": "hi-Latn", "hin-Latn-IN": "hi-Latn", "EN-in": "en", "eng": "en", "MAR": "mr", "Mixed": "mixed", "fr": "other", "und": None, "": None, "N/A": None}
     rows = spark.createDataFrame(list(ways), "string").select("value", langid.canonical_label(F.col("value")).alias("y")).collect()
