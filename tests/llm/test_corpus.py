@@ -239,10 +239,16 @@ def test_content_scores(spark, judge):
     assert content.score_content(df.limit(0), "rec_id", "word_hindi", ["definition"], judge).count() == 0
 
 
+def test_sentences_together_score_as_alone(judge):
+    r = content.Restorer(judge.lm, judge.headword_terms)
+    sentences = [ws for t in ("You are a stupid dog. The house is old", "gh4r is here; a b c", "x") for ws in r.sentences(t)] + [[]]
+    assert np.allclose(judge.probs(sentences), [judge.prob(ws) for ws in sentences])
+
+
 def test_no_labels_leaves_terms():
     m = content.train([], [], [("zarbol", None)])
     r = content.Restorer(m.lm, m.headword_terms)
-    assert m.judge(r, "Zarbol", [], {}) == ("abuse", 1.0, "zarbol") and m.judge(r, "x", ["long " * 5000], {})[0] == "none"
+    assert [x[0] for x in m.judge(r, [("Zarbol", []), ("x", ["long " * 5000]), (None, [None, ""])], {})] == ["abuse", "none", "none"]
 
 
 def test_corpus_counts_cover_every_row(spark):
