@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DEVANAGARI = "[ऀ-ॿ]"
-#: Nukta letters as base and nukta (they never compose again).
-NUKTA = {"ऩ": "न", "ऱ": "र", "ऴ": "ळ", "क़": "क", "ख़": "ख", "ग़": "ग", "ज़": "ज", "ड़": "ड", "ढ़": "ढ", "फ़": "फ", "य़": "य"}
+#: Nukta letters written as one character, and their base letters.
+NUKTA = {chr(0x958 + i): x for i, x in enumerate("कखगजडढफय")} | {"\u0929": "न", "\u0931": "र", "\u0934": "ळ"}
 #: Accented letters folded for safety matching, and what they become.
 FOLDED, FOLDS = "āīūēōṛṇṣḥṁ", "aiueornshm"
 
@@ -87,14 +87,30 @@ ISO_STEPS = (
     ("ṅ", "n"), ("ñ", "n"), ("ṇ", "n"), ("ṭ", "t"), ("ḍ", "d"), ("ṣ", "sh"), ("ś", "sh"), ("ġ", "g"),
     ("ã", "an"), ("ĩ", "in"), ("ũ", "un"), ("c(?=[aeiou])", "ch"), ("c$", "ch"),
 )
+#: Endings and nasals, in this order.
 ISO_ENDS = (
     ("aay$", "ai"), ("aay(?=[^aeiou])", "ai"), ("ay$", "ai"), ("ay(?=[^aeiou])", "ai"), ("aa$", "a"), ("ee$", "i"), ("oo$", "u"),
     ("nm", "m"), ("nb", "mb"), ("np", "mp"),
 )
 
 
+#: Spellings settled by custom.
+ISO_FIXES = {
+    "woh": "woh", "yeh": "yeh", "wah": "woh", "yah": "yeh", "bahan": "behen", "mai": "main", "maidam": "madam", "sar": "sir", "accha": "achcha", "gae": "gaye",
+    "chah": "chhah", "maan": "maa", "kŕpaya": "kripya", "koolha": "kulha", "eeshwar": "ishwar", "eeshwara": "ishwar", "bhagwaan": "bhagwan", "bhagawaan": "bhagwan",
+    "allaah": "allah", "jeeja": "jija", "naxoon": "nakhun", "naaxoon": "nakhun", "nakhoon": "nakhun", "jnyan": "gyaan", "jnyaan": "gyaan", "zindagee": "zindagi",
+    "khadee": "khadi", "ladkee": "ladki", "betee": "beti", "nadee": "nadi", "daada": "dada", "daadi": "dadi", "naana": "nana", "naani": "nani", "chaacha": "chacha",
+    "chaachi": "chachi", "maama": "mama", "maami": "mami", "paapa": "papa", "taaya": "taya", "taai": "tai", "bhaabhi": "bhabhi", "saala": "sala", "saali": "sali",
+    "bhaai": "bhai", "jaao": "jao", "khaao": "khao", "gyaarah": "gyarah", "baarah": "barah", "athaarah": "atharah", "tumhaara": "tumhara", "maatha": "matha",
+    "jeebh": "jibh", "khaana": "khana", "chaawal": "chawal", "tamaatar": "tamatar", "aalu": "aaloo", "joos": "juice", "neembu": "nimbu", "dhanyawaad": "dhanyavaad",
+    "aao": "aao", "baap": "baap", "saas": "saas", "daamaad": "daamaad", "sarkar": "sarkar", "chunav": "chunav", "azaadi": "azaadi", "ganatantra": "ganatantra",
+    "pujari": "pujari", "maulvi": "maulvi", "padri": "padri",
+}
+
+
 def iso_to_common(c: Column, exceptions: tuple[str, ...] = V_WORDS, fixes: dict[str, str] | None = None) -> Column:
-    """Scholarly (ISO style) romanization in common spelling; ``fixes``: whole words to replace (a small table)."""
+    """Scholarly (ISO style) romanization in common spelling; ``fixes``: whole texts to replace (a small table), by default ISO_FIXES."""
+    fixes = ISO_FIXES if fixes is None else fixes
     for pattern, to in ISO_STEPS:
         c = F.regexp_replace(c, pattern, to)
     c = v_to_w(c, exceptions)
