@@ -98,10 +98,59 @@ def c06_variants(spark: SparkSession, sf: str) -> DataFrame:
     return e.agg(F.count("*").alias("pairs"), F.count_if(text.is_variant(F.col("word_hindi"), F.col("head_word"))).alias("variants"))
 
 
-@query()
+_SPACE = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+
+def _map(d: dict[str, str]) -> str:
+    return "map {" + ", ".join(f"'{k}': '{v}'" for k, v in d.items()) + "}"
+
+
+def _roman_ctes(texts: str) -> str:
+    """CTEs that end in ``roman`` (x, r): the distinct Devanagari texts of the query ``texts`` (x), romanized character by character."""
+    pairs = list(translit.NUKTA_CONSONANTS.items())
+    word = "nfc_normalize(w)"
+    for i, (pair, _) in enumerate(pairs):
+        word = f"replace({word}, '{pair}', '{chr(0xE000 + i)}')"
+    plain, signs, vowels = "".join(translit.CONSONANTS), "".join(translit.SIGNS), "".join(translit.VOWELS)
+    any_ = plain + "".join(chr(0xE000 + i) for i in range(len(pairs)))
+    letters = translit.CONSONANTS | {chr(0xE000 + i): v for i, (_, v) in enumerate(pairs)}
+    thrice = "w4"
+    for c in "abcdefghijklmnopqrstuvwxyz0123456789":
+        thrice = f"regexp_replace({thrice}, '{c}{{3,}}', '{c}{c}', 'g')"
+    has = lambda chars, c: f"({c} <> '' and contains('{chars}', {c}))"
+    return f"""txt as (select distinct x from ({texts}) where regexp_matches(x, '[ऀ-ॿ]')),
+tok as (select x, i, t[i] w from (select x, regexp_extract_all(x, '[{_SPACE}]+|[,.?!;:\\-()+]|[^{_SPACE},.?!;:\\-()+]+') t from txt), unnest(range(1, len(t) + 1)) u(i)),
+wrd as (select w, {word} s, nfc_normalize(w) n from (select distinct w from tok where regexp_full_match(w, '[ऀ-ॿ]+'))),
+chr as (select w, i, substr(s, i, 1) c, case when i > 1 then substr(s, i - 1, 1) else '' end p, case when i < length(s) then substr(s, i + 1, 1) else '' end q from wrd, unnest(range(1, length(s) + 1)) u(i)),
+syl as (select w, i, case when {has(any_, 'c')} then {_map(letters)}[c] || case when {has(signs + '्', 'q')} then '' when {has(plain, 'c')} and (p = '' or {has(vowels, 'p')}) or not {has(any_, 'q')} then 'a' else '' end
+ when {has(signs, 'c')} then case when {has(any_, 'p')} then {_map(translit.SIGNS)}[c] else '' end when c in ('ं', 'ँ') then '\ue100' else coalesce({_map(translit.VOWELS | translit.OTHERS)}[c], '') end o from chr),
+lat as (select w, n, replace(replace(regexp_replace(string_agg(o, '' order by i), '\ue100([pbm])', 'm\\1', 'g'), '\ue100', 'n'), 'jny', 'gy') l from syl join wrd using (w) group by w, n),
+fin as (select w, case when regexp_matches(n, '[{plain}][।॥॰]*$') then regexp_replace(v, 'a$', '') else v end w1 from (select *, substr(l, 1, 1) || replace(substr(l, 2), 'v', 'w') v from lat)),
+rom as (select w, trim({thrice}) r from (select w, regexp_replace(regexp_replace(regexp_replace(w1, 'aa$', 'a'), 'ee$', 'i'), 'oo$', 'u') w4 from fin)),
+roman as (select x, string_agg(coalesce(r, w), '' order by i) r from tok left join rom using (w) group by x)"""
+
+
+def _iso_sql(c: str) -> str:
+    for pattern, to in text.ISO_STEPS:
+        pattern, to = pattern.replace("(?=[aeiou])", "([aeiou])"), to + "\\1" if "(?=" in pattern else to
+        c = f"regexp_replace({c}, '{pattern}', '{to}', 'g')"
+    c = f"array_to_string(list_transform(string_split({c}, ' '), lambda w: case when lower(w) in ('vakeel','vyapaari','vyaapaar') then w else substr(w,1,1) || replace(substr(w,2), 'v', 'w') end), ' ')"
+    for pattern, to in text.ISO_ENDS:
+        pattern, to = pattern.replace("(?=[^aeiou])", "([^aeiou])"), to + "\\1" if "(?=" in pattern else to
+        c = f"regexp_replace({c}, '{pattern}', '{to}', 'g')"
+    return c
+
+
+def _iso_fixed(c: str) -> str:
+    """SQL of the corrected spelling, for a column that holds _iso_sql's result."""
+    return f"coalesce({_map(text.ISO_FIXES)}[lower({c})], trim(regexp_replace({c}, '\\s+', ' ', 'g')))"
+
+
+@query(f"with {_roman_ctes('select word_hindi x from entries union all select word_hindi from overrides')} select rec_id, word_hindi, coalesce(r, word_hindi, '') by_rule, coalesce(r, word_hindi, '') by_fallback from (select rec_id, word_hindi from entries union all select null, word_hindi from overrides) left join roman on x = word_hindi")
 def c08_translit(spark: SparkSession, sf: str) -> DataFrame:
-    """Headwords by rule beside the spelling of the override table."""
-    return table(spark, sf, "overrides").select("word_hindi", "roman", translit.romanize(F.col("word_hindi")).alias("by_rule"), translit.transliterate(F.col("word_hindi"), "no such engine").alias("by_fallback"))
+    """Headwords of entries and overrides by rule; a back end that isn't there falls back to the rules."""
+    words = _entries(spark, sf, "rec_id", "word_hindi").unionByName(table(spark, sf, "overrides").select(F.lit(None).cast("long").alias("rec_id"), "word_hindi"))
+    return words.select("rec_id", "word_hindi", translit.romanize(F.col("word_hindi")).alias("by_rule"), translit.transliterate(F.col("word_hindi"), "no such engine").alias("by_fallback"))
 
 
 @query("select rec_id, list_aggregate(list_transform(string_split(word_hinglish_roman, ' '), lambda w: case when lower(w) in ('vakeel','vyapaari','vyaapaar') then w else substr(w,1,1) || replace(substr(w,2), 'v', 'w') end), 'string_agg', ' ') r from entries where word_hinglish_roman is not null")
@@ -109,7 +158,7 @@ def c09_v_to_w(spark: SparkSession, sf: str) -> DataFrame:
     return _entries(spark, sf).where("word_hinglish_roman is not null").select("rec_id", text.v_to_w(F.col("word_hinglish_roman")).alias("r"))
 
 
-@query()
+@query(f"select rec_id, x word_hindi, {_iso_fixed('i')} roman from (select rec_id, word_hindi x, {_iso_sql('word_hindi')} i from entries where regexp_matches(word_hindi, '[a-zāīūśṭḍṇ]'))")
 def c10_iso_roman(spark: SparkSession, sf: str) -> DataFrame:
     """Headwords in scholarly Latin, in common spelling."""
     return _entries(spark, sf).where(F.col("word_hindi").rlike("[a-zāīūśṭḍṇ]")).select("rec_id", "word_hindi", text.iso_to_common(F.col("word_hindi")).alias("roman"))
@@ -263,14 +312,27 @@ def e02_fuzzy_best(spark: SparkSession, sf: str) -> DataFrame:
     return merge.fuzzy_best(e.where("not (source <=> 'WordNet')"), e.where("source = 'WordNet'"))
 
 
-@query(f"""with o as (select word_hindi w, min(roman) r from overrides where trim(roman) <> '' group by 1)
-select rec_id, case when r is not null then 'common_word' when regexp_matches(coalesce(word_hindi,''), '[ऀ-ॿ]') then 'rule' when coalesce(trim(word_hinglish_roman),'') <> '' and not regexp_matches(word_hinglish_roman, '[ऀ-ॿ]') then 'iso' else 'rule' end how, r from entries left join o on w = word_hindi""")
+_ROMAN_VALUE = f"""case when o.r is not null then o.r when d then coalesce(k.r, word_hindi) when h and not regexp_matches(word_hinglish_roman, '[ऀ-ॿ]') then {_iso_fixed('i')} when h then coalesce(m.r, word_hinglish_roman) else coalesce(word_hinglish_roman, '') end"""
+
+
+def _romanized_sql(columns: str, entries: str = "entries") -> str:
+    """SQL of the headwords' romanization, with its method as ``how``, and other columns of the entries."""
+    return f"""with {_roman_ctes(f'select word_hindi x from {entries} union all select word_hinglish_roman from {entries}')},
+o as (select word_hindi w, min(roman) r from overrides where trim(roman) <> '' group by 1),
+e as (select *, coalesce(regexp_matches(word_hindi, '[ऀ-ॿ]'), false) d, coalesce(trim(word_hinglish_roman), '') <> '' h, {_iso_sql('word_hinglish_roman')} i from {entries})
+select {columns}, case when o.r is not null then 'common_word' when d then 'rule' when h and not regexp_matches(word_hinglish_roman, '[ऀ-ॿ]') then 'iso' else 'rule' end how, {_ROMAN_VALUE} r
+ from e left join o on o.w = word_hindi left join roman k on k.x = word_hindi left join roman m on m.x = word_hinglish_roman"""
+
+
+@query(_romanized_sql("rec_id"))
 def e03_override_join(spark: SparkSession, sf: str) -> DataFrame:
     out = lookup.romanize_headwords(spread(_entries(spark, sf, "rec_id", "word_hindi", "word_hinglish_roman")), table(spark, sf, "overrides"))
-    return out.select("rec_id", F.col("_romanization_method").alias("how"), F.when(F.col("_romanization_method") == "common_word", F.col("word_hinglish_roman")).alias("r"))
+    return out.select("rec_id", F.col("_romanization_method").alias("how"), F.col("word_hinglish_roman").alias("r"))
 
 
-@query()
+@query(f"""with {_roman_ctes('select definition x from entries union all select example_sentence from entries')}
+select rec_id, case when regexp_matches(definition, '[ऀ-ॿ]') then d.r when definition <> '' then {_iso_fixed('i')} end definition_hinglish, e.r example_hinglish
+ from (select *, {_iso_sql('definition')} i from entries) left join roman d on d.x = definition left join roman e on e.x = example_sentence""")
 def p01_transliterate_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Definitions and examples in Latin letters."""
     return lookup.romanize_texts(spread(_entries(spark, sf, "rec_id", "definition", "example_sentence"))).select("rec_id", "definition_hinglish", "example_hinglish")
