@@ -9,26 +9,41 @@ from lexmill.functions.fuzzy import ratio
 from lexmill.functions.text import definition_hash, normalize_hindi
 
 
-def _keyed(df: DataFrame, ord_col: str) -> DataFrame:
-    return df.withColumns({"_h": normalize_hindi(F.coalesce("word_hindi", F.lit(""))), "_d": definition_hash(F.coalesce("definition", F.lit(""))), "_o": F.col(ord_col).cast("long")})
-
-
 def merge_dictionaries(primary: DataFrame, secondary: DataFrame, ord_col: str = "rec_id") -> DataFrame:
-    """(ord, origin, n_merged, example_sentence): all primary rows, then unmatched secondary rows.
+    """All primary rows, then the secondary rows that match none, with all their columns, ``origin`` and ``n_merged``.
 
     A secondary row is matched to the first primary row of equal normalised
-    headword and definition, which takes its example if it has none; matched
-    rows are dropped. The first row per key is found, and the matched rows are
-    summed, before anything is joined, so no key is collected.
+    headword and definition, and dropped; that row takes its synsets and
+    examples (distinct, its own first, then in order of the secondaries) and, if
+    it has no example sentence, the first that begins a secondary's list of examples. Columns of
+    one side only are null on the other. The first row per key is found, and
+    what the matched rows give is aggregated, before anything is joined, so no
+    key is collected but for the distinct items a row takes.
     """
-    p, s = _keyed(primary, ord_col), _keyed(secondary, ord_col)
-    filled = F.coalesce(F.col("example_sentence"), F.lit("")) != ""
+
+    def keyed(df: DataFrame) -> DataFrame:
+        for c, kind in (("synsets", "array<string>"), ("all_examples", "array<string>"), ("example_sentence", "string")):
+            df = df if c in df.columns else df.withColumn(c, F.lit(None).cast(kind))
+        return df.withColumns({"_h": normalize_hindi(F.coalesce("word_hindi", F.lit(""))), "_d": definition_hash(F.coalesce("definition", F.lit(""))), "_o": F.col(ord_col)})
+
+    p, s = keyed(primary), keyed(secondary)
     firsts = p.groupBy("_h", "_d").agg(F.min("_o").alias("_o"))
-    given = s.groupBy("_h", "_d").agg(F.count("*").alias("n_merged"), F.min(F.when(filled, F.struct("_o", "example_sentence"))).alias("_e"))
-    gains = firsts.join(given, ["_h", "_d"]).select("_o", "n_merged", F.col("_e.example_sentence").alias("_x"))
-    kept = p.join(gains, "_o", "left").select(F.col("_o").alias("ord"), F.lit("primary").alias("origin"), F.coalesce("n_merged", F.lit(0)).cast("long").alias("n_merged"), F.when(filled, F.col("example_sentence")).otherwise(F.coalesce("_x", F.lit(""))).alias("example_sentence"))
-    rest = s.join(firsts.select("_h", "_d"), ["_h", "_d"], "left_anti").select(F.col("_o").alias("ord"), F.lit("secondary").alias("origin"), F.lit(0).cast("long").alias("n_merged"), F.coalesce("example_sentence", F.lit("")).alias("example_sentence"))
-    return kept.unionByName(rest)
+    example = F.nullif(F.try_element_at("all_examples", F.lit(1)), F.lit(""))
+    given = s.groupBy("_h", "_d").agg(F.count("*").alias("n_merged"), F.min(F.when(example.isNotNull(), F.struct(F.col("_o").alias("o"), example.alias("e")))).alias("_e"))
+    gains = firsts.join(given, ["_h", "_d"]).select(F.col("_o").alias("_p"), "n_merged", F.col("_e.e").alias("_x"))
+    items = s.select("_h", "_d", "_o", F.explode(F.array(F.struct(F.lit(0).alias("f"), F.col("synsets").alias("v")), F.struct(F.lit(1).alias("f"), F.col("all_examples").alias("v")))).alias("x"))
+    items = items.select("_h", "_d", "_o", "x.f", F.posexplode("x.v").alias("i", "v")).where((F.col("f") == 0) | (F.coalesce("v", F.lit("")) != ""))
+    once = items.join(firsts.select("_h", "_d"), ["_h", "_d"], "left_semi").groupBy("_h", "_d", "f", "v").agg(F.min(F.struct("_o", "i")).alias("at"))
+    lists = once.groupBy("_h", "_d").agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("f") == f, F.struct("at", "v")))), lambda x: x["v"]).alias(c) for f, c in ((0, "_s"), (1, "_xs"))])
+    lists = firsts.join(lists, ["_h", "_d"]).select(F.col("_o").alias("_q"), "_s", "_xs")
+    none = F.array().cast("array<string>")
+    kept = p.join(gains, F.col("_o") == F.col("_p"), "left").join(lists, F.col("_o") == F.col("_q"), "left").withColumns({
+        "origin": F.lit("primary"), "n_merged": F.coalesce("n_merged", F.lit(0)).cast("long"),
+        "synsets": F.array_union(F.coalesce("synsets", none), F.coalesce("_s", none)), "all_examples": F.array_union(F.coalesce("all_examples", none), F.coalesce("_xs", none)),
+        "example_sentence": F.coalesce(F.nullif("example_sentence", F.lit("")), "_x", F.lit("")),
+    }).drop("_p", "_q", "_s", "_xs", "_x")
+    rest = s.join(firsts.select("_h", "_d"), ["_h", "_d"], "left_anti").withColumns({"origin": F.lit("secondary"), "n_merged": F.lit(0).cast("long"), "example_sentence": F.coalesce("example_sentence", F.lit(""))})
+    return kept.drop("_h", "_d", "_o").unionByName(rest.drop("_h", "_d", "_o"), allowMissingColumns=True)
 
 
 def fuzzy_best(targets: DataFrame, candidates: DataFrame, threshold: float = 85.0, ord_col: str = "rec_id") -> DataFrame:

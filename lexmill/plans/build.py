@@ -1,4 +1,4 @@
-"""The batch build: raw sources to a finished lexicon, as one declarative plan."""
+"""The batch build: raw sources to a finished lexicon."""
 
 from __future__ import annotations
 
@@ -6,30 +6,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.score import confidence
-from lexmill.functions.text import has_devanagari
 from lexmill.operators.dedup import dedup_by_roman
-from lexmill.operators.lookup import romanize_headwords
+from lexmill.operators.lookup import romanize_headwords, romanize_texts
+from lexmill.operators.merge import merge_dictionaries
 from lexmill.operators.safety import flag_entries
+from lexmill.sinks.writers import number_rows
 from lexmill.sources.dictionaries import dictionary_entries, parse_dictionary_lines, synset_entries
 
-#: Room for the second source's ords behind the first's.
-SECOND = 1 << 40
+#: What a lexicon's row keeps of the leader of its group.
+CARRIED = ["id", "definition_hinglish", "example_hinglish", "head_word", "tags", "synonyms", "antonyms", "_romanization_method"]
 
 
-def build(synsets: DataFrame, lines: DataFrame, overrides: DataFrame, blocklist: DataFrame) -> DataFrame:
-    """(ord, id, word_hindi, roman, definition, definition_hi, definition_en, definition_lang, sources, severity_score, confidence_score).
+def gather(synsets: DataFrame, words: DataFrame, supplemental: DataFrame | None = None) -> DataFrame:
+    """Synset rows, dictionary rows and supplemental rows as one merged table (E1), ``k`` being its order.
 
-    Order: synsets by id and word, then dictionary lines by number and sense.
-    Ids name the leader's place in the source, so they need no global count.
+    The order is that of synsets by id and word, then of the others by source,
+    line and sense; it is a struct, so no number can run into another's.
     """
-    a = synset_entries(synsets).withColumn("rec_id", F.col("synset_id").cast("long") * 1000 + F.col("pos_in_synset"))
-    b = dictionary_entries(parse_dictionary_lines(lines)).withColumn("rec_id", F.lit(SECOND) + F.col("line_no") * 1000 + F.element_at(F.split("id", "-"), -1).cast("long"))
-    columns = ["rec_id", "word_hindi", "word_hinglish_roman", "definition", "part_of_speech", "example_sentence", "source"]
-    both = a.select(columns).unionByName(b.select(columns)).withColumn("sources", F.lit(None).cast("array<string>"))
-    roman = romanize_headwords(both, overrides)
-    method = roman.select(F.col("rec_id").alias("leader"), "_romanization_method")
-    lex = dedup_by_roman(roman.drop("_romanization_method")).join(method, "leader")
-    flagged = flag_entries(lex.withColumnRenamed("leader", "rec_id"), blocklist, "roman")
+    key = lambda s, a, b: F.struct(F.lit(s).alias("s"), a.cast("long").alias("a"), b.cast("long").alias("b"))
+    first = synset_entries(synsets).withColumn("k", key(0, F.col("synset_id"), F.col("pos_in_synset"))).drop("synset_id", "pos_in_synset")
+    second = dictionary_entries(words).withColumn("k", key(1, F.col("line_no"), F.col("sense"))).drop("line_no", "sense")
+    if supplemental is not None:
+        second = second.unionByName(supplemental.withColumn("k", key(2, F.col("place"), F.lit(0))).drop("place"), allowMissingColumns=True)
+    return merge_dictionaries(first, second, "k").drop("origin", "n_merged")
+
+
+def number_and_romanize(merged: DataFrame, overrides: DataFrame, prefix: str = "HIN-") -> DataFrame:
+    """The merged table with romanized headwords and texts, ``ord`` and id, written once: what follows reads it several times."""
+    romanized = romanize_texts(romanize_headwords(merged, overrides))
+    numbered = number_rows(romanized, [F.col("k")], "ord")
+    return numbered.withColumn("id", F.concat(F.lit(prefix), F.format_string("%05d", "ord"))).drop("k")
+
+
+def finish(rows: DataFrame, blocklist: DataFrame | None) -> DataFrame:
+    """Deduplicated, classified, flagged (unless there is no block list) and scored."""
+    rows = rows if "sources" in rows.columns else rows.withColumn("sources", F.lit(None).cast("array<string>"))
+    lex = dedup_by_roman(rows, "ord", carry=[c for c in CARRIED if c in rows.columns]).withColumnsRenamed({"leader": "ord", "roman": "word_hinglish_roman"})
+    if blocklist is not None:
+        lex = flag_entries(lex, blocklist, id_col="ord")
+    else:
+        lex = lex.withColumns({"profanity": F.lit(False), "severity_score": F.lit(0.0)})
     filled = lambda c: F.coalesce(c, F.lit("")) != ""
-    score = confidence(F.try_element_at("sources", F.lit(1)), F.col("_romanization_method"), F.size("sources"), filled("definition_hi"), filled("definition_en"), filled("example_sentence"), F.col("severity_score"))
-    return flagged.select(F.col("rec_id").alias("ord"), F.concat(F.lit("HIN-"), F.col("rec_id").cast("string")).alias("id"), "word_hindi", "roman", "definition", "definition_hi", "definition_en", "definition_lang", F.array_join("sources", "+").alias("sources"), "severity_score", F.round(score, 4).alias("confidence_score"), has_devanagari(F.col("roman")).alias("unconverted"))
+    score = confidence(F.col("source"), F.col("_romanization_method"), F.size(F.array_distinct("sources")), filled("definition_hi"), filled("definition_en"), filled("example_sentence"), F.col("severity_score"))
+    return lex.withColumn("confidence_score", F.round(score, 4)).drop("_romanization_method")
+
+
+def build(synsets: DataFrame, lines: DataFrame, overrides: DataFrame, blocklist: DataFrame | None, supplemental: DataFrame | None = None) -> DataFrame:
+    """The lexicon, one row per romanized headword: load, merge, romanize, transliterate texts, number, deduplicate, classify, flag, score.
+
+    Each source is read once; the romanized rows are written once to the shared folder.
+    """
+    return finish(number_and_romanize(gather(synsets, parse_dictionary_lines(lines), supplemental), overrides), blocklist)

@@ -143,7 +143,7 @@ def _iso_sql(c: str) -> str:
 
 def _iso_fixed(c: str) -> str:
     """SQL of the corrected spelling, for a column that holds _iso_sql's result."""
-    return f"coalesce({_map(text.ISO_FIXES)}[lower({c})], trim(regexp_replace({c}, '\\s+', ' ', 'g')))"
+    return f"coalesce({_map(text.ISO_FIXES)}[lower({c})], regexp_replace(regexp_replace({c}, '\\s+', ' ', 'g'), '^ | $', '', 'g'))"
 
 
 @query(f"with {_roman_ctes('select word_hindi x from entries union all select word_hindi from overrides')} select rec_id, word_hindi, coalesce(r, word_hindi, '') by_rule, coalesce(r, word_hindi, '') by_fallback from (select rec_id, word_hindi from entries union all select null, word_hindi from overrides) left join roman on x = word_hindi")
@@ -274,7 +274,16 @@ def a10_senses(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("line_no", F.element_at(F.split("id", "-"), -1).cast("long").alias("place"), "definition", _long(F.greatest(F.coalesce(F.size("synonyms"), F.lit(0)), F.lit(0))).alias("synonyms"))
 
 
-@query()
+#: (line_no, i, word, pos, roman, definition, example, id) of every sense that has a definition.
+_SENSES_SQL = f"""select line_no, i - 1 i, coalesce(j->>'word', '') word, coalesce(j->>'pos', '') pos, coalesce(roman, '') roman, d definition, coalesce(e, '') example, format('WK-{{}}-{{}}-{{}}', coalesce(j->>'word', ''), coalesce(j->>'pos', ''), i - 1) id from
+ (select line_no, i, j, coalesce(s->>'$.glosses[0]', regexp_replace(s->>'$.raw_glosses[0]', '\\([^)]*\\)\\s*', '', 'g'), '') d,
+ case when len(tagged) > 0 then tagged[1]->>'form' else list_filter(fs, lambda f: regexp_full_match(json_extract_string(f, '$.form'), '[\\x00-\\x7f]+'))[1]->>'form' end roman,
+ list_filter(list_transform(json_extract(s, '$.examples[*]'), lambda x: case when json_type(x) = 'OBJECT' then case when coalesce(json_extract_string(x, '$.text'), '') <> '' then json_extract_string(x, '$.text') || case when coalesce(json_extract_string(x, '$.translation'), '') <> '' then ' (' || json_extract_string(x, '$.translation') || ')' else '' end end else json_extract_string(x, '$') end), lambda x: x is not null)[1] e
+ from (select *, list_filter(fs, lambda f: list_has_any(coalesce(json_extract(f, '$.tags')::VARCHAR[], []), ['romanization', 'roman'])) tagged from
+ (select line_no, i, j, (j->'$.senses[*]')[i] s, j->'$.forms[*]' fs from (select line_no, j, unnest(range(1, len(j->'$.senses[*]') + 1)) i from {_LINES} where j->>'lang_code' = 'hi' and not list_contains(json_keys(j), 'redirect'))))) where d <> ''"""
+
+
+@query(f"select line_no, id, roman word_hinglish_roman, example example_sentence from ({_SENSES_SQL})")
 def a08_roman_and_example(spark: SparkSession, sf: str) -> DataFrame:
     """Romanization, example and id of every sense."""
     e = dictionaries.dictionary_entries(dictionaries.parse_dictionary_lines(table(spark, sf, "wiktionary_lines")))
@@ -298,12 +307,20 @@ _KEYS = f"select *, {_HINDI} h, {_HASH} d from entries"
 
 
 @query(f"""with k as ({_KEYS}), p as (select * from k where source = 'WordNet'), s as (select * from k where source <> 'WordNet'),
-f as (select h, d, min(rec_id) rec_id from p group by 1, 2), g as (select h, d, count(*) n, arg_min(example_sentence, rec_id) filter (where coalesce(example_sentence,'') <> '') x from s group by 1, 2)
-select p.rec_id ord, 'primary' origin, coalesce(g.n, 0)::BIGINT n_merged, case when coalesce(p.example_sentence,'') <> '' then p.example_sentence else coalesce(g.x, '') end example_sentence from p left join f on f.rec_id = p.rec_id left join g on f.h = g.h and f.d = g.d
-union all select rec_id, 'secondary', 0::BIGINT, coalesce(example_sentence,'') from s where not exists (select 1 from f where f.h = s.h and f.d = s.d)""")
+f as (select h, d, min(rec_id) rec_id from p group by 1, 2), g as (select h, d, count(*) n, arg_min(all_examples[1], rec_id) filter (where coalesce(all_examples[1],'') <> '') x from s group by 1, 2),
+own as (select h, d, rec_id, 0 late from f union all select s.h, s.d, s.rec_id, 1 from s join f on f.h = s.h and f.d = s.d),
+it as (select h, d, late, rec_id, field, vs[i] v, i from (select own.h, own.d, late, rec_id, field, case when field = 's' then synsets else all_examples end vs, unnest(range(1, len(case when field = 's' then synsets else all_examples end) + 1)) i from own join k using (rec_id), (values ('s'), ('x')) t(field))),
+li as (select h, d, field, string_agg(v, '|' order by o) l from (select h, d, field, v, min([late, rec_id, i]) o from it where late = 0 or field = 's' or coalesce(v, '') <> '' group by 1, 2, 3, 4) group by 1, 2, 3)
+select p.rec_id ord, p.id, p.definition, 'primary' origin, coalesce(g.n, 0)::BIGINT n_merged, coalesce(nullif(p.example_sentence, ''), g.x, '') example_sentence,
+ case when f.rec_id is null then coalesce(array_to_string(list_filter(p.synsets, lambda y, i: list_position(p.synsets, y) = i), '|'), '') else coalesce(a.l, '') end synsets,
+ case when f.rec_id is null then coalesce(array_to_string(list_filter(p.all_examples, lambda y, i: list_position(p.all_examples, y) = i), '|'), '') else coalesce(z.l, '') end all_examples
+ from p left join f on f.rec_id = p.rec_id left join g on g.h = f.h and g.d = f.d left join li a on a.h = f.h and a.d = f.d and a.field = 's' left join li z on z.h = f.h and z.d = f.d and z.field = 'x'
+union all select rec_id, id, definition, 'secondary', 0::BIGINT, coalesce(example_sentence,''), coalesce(array_to_string(synsets, '|'), ''), coalesce(array_to_string(all_examples, '|'), '') from s where not exists (select 1 from f where f.h = s.h and f.d = s.d)""")
 def e01_merge_first_match(spark: SparkSession, sf: str) -> DataFrame:
     e = _entries(spark, sf)
-    return merge.merge_dictionaries(e.where("source = 'WordNet'"), e.where("source <> 'WordNet'"))
+    m = merge.merge_dictionaries(e.where("source = 'WordNet'"), e.where("source <> 'WordNet'"))
+    text_of = lambda c: F.coalesce(F.array_join(c, "|"), F.lit("")).alias(c)
+    return m.select(F.col("rec_id").alias("ord"), "id", "definition", "origin", "n_merged", "example_sentence", text_of("synsets"), text_of("all_examples"))
 
 
 @query()
@@ -439,16 +456,17 @@ def f07_roman_health(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # the fold, row by row
-_FOLD_SQL = f"""with recursive b as (select word_hinglish_roman roman, rec_id ord, coalesce(definition,'') d, coalesce(word_hindi,'') w, coalesce(example_sentence,'') ex, coalesce(part_of_speech,'') pos, {_QUALITY.format(ex='0')} u,
- row_number() over (partition by word_hinglish_roman order by rec_id) i from entries where coalesce(word_hinglish_roman,'') <> ''),
-f as (select roman, i, ord leader, u, ex, pos, d, w, null::VARCHAR hi, null::VARCHAR en, 1 n from b where i = 1
- union all select f.roman, b.i, case when win then b.ord else f.leader end, case when win then b.u else f.u end, case when win then coalesce(nullif(b.ex,''), f.ex) else coalesce(nullif(f.ex,''), b.ex) end, case when win then coalesce(nullif(b.pos,''), f.pos) else coalesce(nullif(f.pos,''), b.pos) end,
+_FOLD_CTES = f"""b as (select word_hinglish_roman roman, rec_id ord, coalesce(definition,'') d, coalesce(word_hindi,'') w, coalesce(example_sentence,'') ex, coalesce(part_of_speech,'') pos, {_QUALITY.format(ex='0')} u,
+ list_filter(coalesce(sources, [source]), lambda x, i: list_position(coalesce(sources, [source]), x) = i) ss, row_number() over (partition by word_hinglish_roman order by rec_id) i from entries where coalesce(word_hinglish_roman,'') <> ''),
+f as (select roman, i, ord leader, [ord] ls, ss, u, ex, pos, d, w, null::VARCHAR hi, null::VARCHAR en, 1 n from b where i = 1
+ union all select f.roman, b.i, case when win then b.ord else f.leader end, case when win then list_concat([b.ord], f.ls) else f.ls end,
+ case when win then list_concat(b.ss, list_filter(f.ss, lambda x: not list_contains(b.ss, x))) else list_concat(f.ss, list_filter(b.ss, lambda x: not list_contains(f.ss, x))) end, case when win then b.u else f.u end, case when win then coalesce(nullif(b.ex,''), f.ex) else coalesce(nullif(f.ex,''), b.ex) end, case when win then coalesce(nullif(b.pos,''), f.pos) else coalesce(nullif(f.pos,''), b.pos) end,
  case when win then b.d else f.d end, case when win then b.w else f.w end,
  case when win then {{hi_win}} else coalesce(f.hi, {{hi_stay}}) end, case when win then {{en_win}} else coalesce(f.en, {{en_stay}}) end, f.n + 1
- from f join (select * from b) b on b.roman = f.roman and b.i = f.i + 1, lateral (select b.u + case when b.ex <> '' then 50 else 0 end > f.u + case when f.ex <> '' then 50 else 0 end win))
-select f.roman, leader, n::BIGINT n_rows, {_LANG.format(c='d')} definition_lang, ex example_sentence, pos part_of_speech,
- coalesce(hi, case when regexp_matches(d, '[ऀ-ॿ]') then d end) definition_hi, coalesce(en, case when {_LANG.format(c='d')} in ('en','mixed') then d end) definition_en, s.sources
- from f join (select roman, max(i) i from f group by 1) l using (roman, i) left join (select word_hinglish_roman roman, array_to_string(list_sort(list_distinct(flatten(list(coalesce(sources, [source]))))), '|') sources from entries group by 1) s using (roman)"""
+ from f join b on b.roman = f.roman and b.i = f.i + 1, lateral (select b.u + case when b.ex <> '' then 50 else 0 end > f.u + case when f.ex <> '' then 50 else 0 end win)),
+deduped as (select f.roman, leader, ls, n::BIGINT n_rows, w word_hindi, d definition, {_LANG.format(c='d')} definition_lang, ex example_sentence, pos part_of_speech, ss[1] source, array_to_string(ss, '|') sources,
+ coalesce(hi, case when regexp_matches(d, '[ऀ-ॿ]') then d end) definition_hi, coalesce(en, case when {_LANG.format(c='d')} in ('en','mixed') then d end) definition_en
+ from f join (select roman, max(i) i from f group by 1) l using (roman, i))"""
 
 
 def _first_of(own: str, other: str, rx: str, word: str | None = None) -> str:
@@ -456,7 +474,8 @@ def _first_of(own: str, other: str, rx: str, word: str | None = None) -> str:
 
 
 _DEV, _LAT = "[ऀ-ॿ]", "[A-Za-z]"
-_FOLD_SQL = _FOLD_SQL.format(hi_win=_first_of("b.d", "f.d", _DEV, "b.w"), hi_stay=_first_of("f.d", "b.d", _DEV, "f.w"), en_win=_first_of("b.d", "f.d", _LAT), en_stay=_first_of("f.d", "b.d", _LAT))
+_FOLD_CTES = _FOLD_CTES.format(hi_win=_first_of("b.d", "f.d", _DEV, "b.w"), hi_stay=_first_of("f.d", "b.d", _DEV, "f.w"), en_win=_first_of("b.d", "f.d", _LAT), en_stay=_first_of("f.d", "b.d", _LAT))
+_FOLD_SQL = f"with recursive {_FOLD_CTES} select * exclude (ls) from deduped"
 
 
 def _dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -465,31 +484,39 @@ def _dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_FOLD_SQL)
 def f08_roman_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return _dedup(spark, sf).select("roman", "leader", "n_rows", "definition_lang", "example_sentence", "part_of_speech", "definition_hi", "definition_en", F.array_join("sources", "|").alias("sources"))
+    return _dedup(spark, sf).withColumn("sources", F.array_join("sources", "|"))
 
 
-@query("select word_hinglish_roman roman, x item, min(rec_id) ord from (select word_hinglish_roman, rec_id, unnest(synsets) x from entries) where coalesce(word_hinglish_roman,'') <> '' and coalesce(x,'') <> '' group by 1, 2")
-def f08_merged_synsets(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.merged_list(_entries(spark, sf), "synsets")
+@query(f"""with recursive {_FOLD_CTES}, x as (select word_hinglish_roman roman, rec_id, 'synsets' field, synsets v from entries union all select word_hinglish_roman, rec_id, 'all_examples', all_examples from entries),
+y as (select roman, field, rec_id, v[i] item, (i - 1)::BIGINT pos from (select *, unnest(range(1, len(v) + 1)) i from x)),
+z as (select roman, field, item, list_position(ls, rec_id) p, rec_id, pos from y join deduped using (roman) where coalesce(item, '') <> ''),
+r as (select roman, field, item, min(case when p > 0 then [0, p::BIGINT, pos] else [1, rec_id, pos] end) o from z group by all)
+select roman, field, item, o[1]::BIGINT late, o[2]::BIGINT as "at", o[3]::BIGINT pos from r""")
+def f08_merged_lists(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.merged_lists(_entries(spark, sf), ["synsets", "all_examples"])
 
 
 _DEDUPED = f"(select *, string_split(sources, '|') ss, len(string_split(sources, '|')) > 1 merged from ({_FOLD_SQL}))"
 
 
 @query(f"""select count(*)::BIGINT total, count(*) filter (where merged)::BIGINT merged, count(*) filter (where merged and hi)::BIGINT with_hi, count(*) filter (where merged and en)::BIGINT with_en, count(*) filter (where merged and hi and en)::BIGINT with_both,
- count(*) filter (where merged and hi and en and definition_hi = definition_en)::BIGINT identical from (select *, coalesce(definition_hi,'') <> '' hi, coalesce(definition_en,'') <> '' en from {_DEDUPED})""")
+ count(*) filter (where merged and hi and en and definition_hi = definition_en)::BIGINT identical,
+ count(*) filter (where merged and length(definition) < 20)::BIGINT thin, least(count(*) filter (where merged and length(definition) < 20), 30)::BIGINT thin_capped from (select *, coalesce(definition_hi,'') <> '' hi, coalesce(definition_en,'') <> '' en from {_DEDUPED})""")
 def f04_merge_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.merge_audit(_dedup(spark, sf)).drop("thin", "thin_capped")
+    return stats.merge_audit(_dedup(spark, sf))
 
 
-@query(f"select replace(sources, '|', ', ') sources, count(*)::BIGINT n from {_DEDUPED} where merged group by 1")
+@query(f"select array_to_string(list_sort(ss), ', ') sources, count(*)::BIGINT n from {_DEDUPED} where merged group by 1")
 def f04_source_sets(spark: SparkSession, sf: str) -> DataFrame:
     return stats.source_sets(_dedup(spark, sf))
 
 
-@query(f"""select h hindi, d def_hash, min(rec_id) leader, count(*)::BIGINT n_rows, max(confidence_score) confidence, coalesce(arg_min(example_sentence, rec_id) filter (where coalesce(example_sentence,'') <> ''), '') example_sentence from ({_KEYS}) group by 1, 2""")
+@query(f"""with recursive k as ({_KEYS}), g as (select h hindi, d def_hash, min(rec_id) leader, count(*)::BIGINT n_rows, max(confidence_score) confidence, coalesce(arg_min(example_sentence, rec_id) filter (where coalesce(example_sentence,'') <> ''), '') example_sentence from k group by 1, 2),
+o as (select h, d, source, row_number() over (partition by h, d order by min(rec_id)) i from k where source is not null group by 1, 2, 3),
+j as (select h, d, i, source sources from o where i = 1 union all select j.h, j.d, o.i, case when contains(j.sources, o.source) then j.sources else j.sources || '+' || o.source end from j join o on o.h = j.h and o.d = j.d and o.i = j.i + 1)
+select g.*, coalesce(sources, '') sources from g left join (select h, d, arg_max(sources, i) sources from j group by 1, 2) x on x.h = g.hindi and x.d = g.def_hash""")
 def f09_hash_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.dedup_by_definition(_entries(spark, sf)).drop("sources")
+    return dedup.dedup_by_definition(_entries(spark, sf))
 
 
 @query(f"""select w word, max(f)::BIGINT freq, 'hi_Latn' locale, arg_min(pos, rec_id) pos, min(rec_id) ord from (select rec_id, coalesce(part_of_speech,'') pos, lower({_STRIP.format(c="coalesce(word_hinglish_roman,'')")}) w,
@@ -602,9 +629,14 @@ def b02_excluded(spark: SparkSession, sf: str) -> DataFrame:
     return writers.excluded_rows(_entries(spark, sf))
 
 
-@query()
+_Q = "'"
+_QUOTED = f"{_Q * 4} || replace(coalesce({{c}}, {_Q * 2}), {_Q * 4}, {_Q * 6}) || {_Q * 4}"
+
+
+@query(f"""with n as (select row_number() over (order by id nulls first, rec_id) - 1 i, '(' || {" || ',' || ".join(_QUOTED.format(c=c) for c in ("id", "word_hindi", "definition"))} || ')' r from entries)
+select i // 10 n, 'INSERT INTO entries (id,word_hindi,definition) VALUES ' || string_agg(r, ',' order by i) || ';' stmt from n group by 1""")
 def b09_sql_dump(spark: SparkSession, sf: str) -> DataFrame:
-    return writers.sql_dump(_entries(spark, sf), ["id", "word_hindi", "definition"], "entries")
+    return writers.sql_dump(_entries(spark, sf), ["id", "word_hindi", "definition"], "entries", ["id", "rec_id"])
 
 
 @query("with c as (select coalesce(part_of_speech,'') as value, count(*)::BIGINT n from entries group by 1) select value, n, repeat('█', greatest(1, floor(n * 40 / (select sum(n) from c)))::INT) bar from c")
@@ -636,9 +668,34 @@ def l02_model_udf(spark: SparkSession, sf: str) -> DataFrame:
     return safety.score_texts(_entries(spark, sf, "rec_id", "definition"), "rec_id", "definition", _length_model)
 
 
-@query()
+_BUILD_SQL = f"""with recursive raw as (select 0 s, synset_id::BIGINT a, i - 1 b, words[i] word_hindi, lower(words[i]) roman, coalesce(gloss, '') definition, coalesce(pos, '') pos, coalesce(examples[1], '') ex, examples xs, 'WordNet' source from (select *, unnest(range(1, len(words) + 1)) i from synsets)
+ union all select 1, line_no, i, word, roman, definition, pos, example, case when example <> '' then [example] else [] end, 'Wiktionary' from ({_SENSES_SQL})),
+keyed as (select *, {_sql_hindi("coalesce(word_hindi, '')")} h, md5({_SQ.format(c="definition")}) dh from raw),
+firsts as (select h, dh, min((a, b)) o from keyed where s = 0 group by 1, 2),
+given as (select h, dh, arg_min(xs[1], (a, b)) filter (where coalesce(xs[1], '') <> '') x from keyed where s = 1 group by 1, 2),
+merged as (select k.*, case when ex = '' and o is not null then coalesce(x, '') else ex end example from keyed k left join firsts f on s = 0 and f.h = k.h and f.dh = k.dh and f.o = (a, b) left join given g on g.h = f.h and g.dh = f.dh
+ where s = 0 or not exists (select 1 from firsts z where z.h = k.h and z.dh = k.dh)),
+numbered as (select row_number() over (order by s, a, b) rec_id, word_hindi, roman word_hinglish_roman, definition, pos part_of_speech, example example_sentence, source, null::VARCHAR[] sources from merged),
+romanized as ({_romanized_sql("rec_id, word_hindi, definition, part_of_speech, example_sentence, source, sources", "numbered")}),
+entries as (select rec_id, word_hindi, definition, part_of_speech, example_sentence, source, sources, how, r word_hinglish_roman from romanized),
+{_FOLD_CTES},
+terms as ({_TERMS}),
+flagged as (select d.*, how, coalesce(list_has_any(string_split_regex(trim({_FOLD.format(c='roman')}), '\\s+'), (select list(term) from terms)), false) profane from deduped d join entries e on e.rec_id = leader)
+select leader ord, 'HIN-' || printf('%05d', leader) id, word_hindi, roman word_hinglish_roman, definition, definition_hi, definition_en, definition_lang, example_sentence, part_of_speech, source, sources, profane profanity, how,
+ round(least(greatest(case when profane then least(c, 0.3::DOUBLE) else c end, 0), 1), 6) confidence from (select *, (case source when 'WordNet' then 0.95::DOUBLE when 'Wiktionary' then 0.85::DOUBLE else 0.70::DOUBLE end) * (case how when 'common_word' then 1.0::DOUBLE when 'iso' then 0.92::DOUBLE else 0.75::DOUBLE end)
+ * (1.0::DOUBLE + 0.03::DOUBLE * (len(string_split(sources, '|')) - 1))
+ * (case when coalesce(definition_hi,'') <> '' and coalesce(definition_en,'') <> '' then 1.05::DOUBLE when coalesce(definition_en,'') <> '' then 1.03::DOUBLE when coalesce(definition_hi,'') <> '' and example_sentence <> '' then 1.02::DOUBLE else 1.0::DOUBLE end) c from flagged)"""
+
+
+@query(_BUILD_SQL)
 def build_lexicon(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole build from the raw sources: parse, merge, romanize, deduplicate, flag, score."""
-    from lexmill.plans.build import build
+    """The whole build from the raw sources: parse, merge, romanize, number, deduplicate, flag, score (here without rounding to four decimals)."""
+    from lexmill.plans import build
 
-    return build(spread(table(spark, sf, "synsets")), spread(table(spark, sf, "wiktionary_lines")), table(spark, sf, "overrides"), table(spark, sf, "blocklist"))
+    merged = build.gather(table(spark, sf, "synsets"), dictionaries.parse_dictionary_lines(table(spark, sf, "wiktionary_lines")))
+    rows = build.number_and_romanize(merged, table(spark, sf, "overrides"))
+    lex = build.finish(rows.withColumn("tags", F.col("_romanization_method")), table(spark, sf, "blocklist"))
+    filled = lambda c: F.coalesce(c, F.lit("")) != ""
+    exact = score.confidence(F.col("source"), F.col("tags"), F.size("sources"), filled("definition_hi"), filled("definition_en"), filled("example_sentence"), F.col("severity_score"))
+    columns = ["ord", "id", "word_hindi", "word_hinglish_roman", "definition", "definition_hi", "definition_en", "definition_lang", "example_sentence", "part_of_speech", "source"]
+    return lex.select(*columns, F.array_join("sources", "|").alias("sources"), "profanity", F.col("tags").alias("how"), F.round(exact, 6).alias("confidence"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexmill.functions.score import frequency
 from lexmill.functions.text import has_devanagari, keyboard_word
 from lexmill.operators.search import is_safe
+from lexmill.plans.runtime import durable
 
 
 def split_safe(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -61,30 +62,37 @@ def sql_quote(c: Column) -> Column:
     return F.concat(F.lit("'"), F.replace(F.coalesce(c.cast("string"), F.lit("")), F.lit("'"), F.lit("''")), F.lit("'"))
 
 
-def sql_dump(entries: DataFrame, columns: list[str], table: str, id_col: str = "id", per: int = 10) -> DataFrame:
-    """(stmt): INSERTs of up to ``per`` rows, the ids of a statement being neighbours in their range partition."""
+def sql_dump(entries: DataFrame, columns: list[str], table: str, by: list[str], per: int = 10) -> DataFrame:
+    """(n, stmt): INSERTs of ``per`` rows each in order of ``by``, numbered in that order."""
     row = F.concat(F.lit("("), F.concat_ws(",", *[sql_quote(F.col(c)) for c in columns]), F.lit(")"))
-    ordered = entries.select(F.col(id_col).alias("i"), row.alias("r")).repartitionByRange("i").sortWithinPartitions("i").withColumn("n", F.monotonically_increasing_id())
-    # the id holds partition and place; ten neighbours make a statement
-    part, place = F.shiftright("n", 33), F.floor(F.pmod("n", F.lit(1 << 33)) / per)
+    placed = number_rows(entries.select(*dict.fromkeys(by), row.alias("_r")), [F.col(c) for c in by], "_n")
     head = f"INSERT INTO {table} ({','.join(columns)}) VALUES "
-    return ordered.groupBy(part.alias("p"), place.alias("g")).agg(F.array_sort(F.collect_list(F.struct("n", "r"))).alias("rs")).select(F.concat(F.lit(head), F.array_join(F.col("rs.r"), ","), F.lit(";")).alias("stmt"))
+    # a statement's rows are ``per`` at most
+    rows = placed.groupBy(F.floor((F.col("_n") - 1) / per).alias("n")).agg(F.array_sort(F.collect_list(F.struct("_n", "_r"))).alias("rs"))
+    return rows.select("n", F.concat(F.lit(head), F.array_join(F.col("rs._r"), ","), F.lit(";")).alias("stmt"))
 
 
-def assign_ids(entries: DataFrame, ord_col: str = "rec_id", prefix: str = "HIN-") -> DataFrame:
-    """``entries`` with id: their place in order, counted without one global window.
+def write_dump(dump: DataFrame, path: str) -> None:
+    """The statements of ``sql_dump`` as text, in order."""
+    dump.orderBy("n").select(F.col("stmt").alias("value")).write.mode("overwrite").text(path)
 
-    Rows are range-partitioned by the ord and counted per partition; the counts
-    (one number per partition) give each partition its offset.
-    """
-    from lexmill.plans.runtime import durable
 
-    placed = durable(entries.repartitionByRange(F.col(ord_col)).sortWithinPartitions(ord_col).withColumn("_m", F.monotonically_increasing_id()))
+def number_rows(df: DataFrame, by: list, column: str = "ord") -> DataFrame:
+    """``df``, written in order of ``by``, with its rows' places in that order (from 1), counted without one global window.
+
+    Rows are range-partitioned and counted per partition; the counts (one
+    number per partition) give each partition its offset.
+    """
+    placed = durable(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_m", F.monotonically_increasing_id()))
     part = F.shiftright("_m", 33)
     counts = sorted((r["p"], r["n"]) for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
     offsets, at = [], 0
     for p, n in counts:
         offsets += [F.lit(p), F.lit(at)]
         at += n
-    number = F.pmod("_m", F.lit(1 << 33)) + 1 + (F.create_map(*offsets)[part] if offsets else F.lit(0))
-    return placed.withColumn("id", F.concat(F.lit(prefix), F.format_string("%05d", number))).drop("_m")
+    return placed.withColumn(column, F.pmod("_m", F.lit(1 << 33)) + 1 + (F.create_map(*offsets)[part] if offsets else F.lit(0))).drop("_m")
+
+
+def assign_ids(entries: DataFrame, ord_col: str = "rec_id", prefix: str = "HIN-") -> DataFrame:
+    """``entries`` with id: their place in order of ``ord_col``, of five digits or more."""
+    return number_rows(entries, [F.col(ord_col)], "_n").withColumn("id", F.concat(F.lit(prefix), F.format_string("%05d", "_n"))).drop("_n")

@@ -9,13 +9,22 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.text import strip
 
-#: Header names that stand for a field, in order of preference.
-ALIASES = {
-    "word_hindi": ("word_hindi", "hindi", "word", "devanagari", "hindi_word"),
-    "definition": ("definition", "meaning", "english", "gloss", "translation"),
-    "word_hinglish_roman": ("word_hinglish_roman", "roman", "hinglish", "transliteration", "romanized"),
+#: Header names of CSV files that stand for a field; the first that is there counts.
+HEADERS = {
+    "word_hindi": ("hindi", "word_hindi", "hindi_word", "word"),
+    "definition": ("english", "definition", "meaning", "eng"),
+    "word_hinglish_roman": ("roman", "hinglish", "romanized", "transliteration"),
+    "part_of_speech": ("pos", "part_of_speech", "type"),
+}
+#: Names of JSON fields that stand for a field; the first that isn't empty counts.
+NAMES = {
+    "word_hindi": ("word_hindi", "hindi", "word"),
+    "definition": ("definition", "meaning", "english"),
+    "word_hinglish_roman": ("word_hinglish_roman", "roman", "hinglish"),
     "part_of_speech": ("part_of_speech", "pos", "type"),
 }
+#: What every supplemental row has besides.
+SUPPLEMENT = {"example_sentence": "''", "all_examples": "cast(array() as array<string>)", "synsets": "cast(array() as array<string>)", "confidence_score": "0.7D", "severity_score": "0.0D"}
 SENSES = "array<struct<glosses:array<string>,raw_glosses:array<string>,examples:array<string>,tags:array<string>,synonyms:array<struct<word:string>>,antonyms:array<struct<word:string>>>>"
 LINE = f"word string, lang string, lang_code string, pos string, redirect string, forms array<struct<form:string,tags:array<string>>>, senses {SENSES}"
 
@@ -49,13 +58,40 @@ def synset_entries(synsets: DataFrame) -> DataFrame:
         "synset_id", F.posexplode("words").alias("pos_in_synset", "word_hindi"), F.coalesce("gloss", F.lit("")).alias("definition"), F.coalesce("pos", F.lit("")).alias("part_of_speech"),
         F.coalesce(F.try_element_at("examples", F.lit(1)), F.lit("")).alias("example_sentence"), F.col("examples").alias("all_examples"),
         F.array(F.concat(F.lit("iwn-"), F.col("synset_id").cast("string"))).alias("synsets"), F.try_element_at("words", F.lit(1)).alias("head_word"),
-    ).withColumns({"id": F.concat(F.lit("WN-"), F.col("synset_id").cast("string")), "word_hinglish_roman": F.lit(""), "source": F.lit("WordNet"), "confidence_score": F.lit(1.0)})
+    ).withColumns({"id": F.concat(F.lit("WN-"), F.col("synset_id").cast("string")), "word_hinglish_roman": F.lower("word_hindi"), "source": F.lit("WordNet"), "confidence_score": F.lit(1.0)})
+
+
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder, sorted; none if there is no such folder."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(path) if f.isFile())
 
 
 def read_synsets(spark: SparkSession, path: str) -> DataFrame:
     return synset_entries(parse_synsets(spark.read.text(path)))
 
 
+def read_synset_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """The synset file of a folder: ``all.hindi``, else the first ``all.*``, in ``synsets`` or ``iwn_data/synsets``."""
+    for sub in ("synsets", "iwn_data/synsets"):
+        names = [n for n in _files(spark, f"{folder}/{sub}") if n.startswith("all.")]
+        if names:
+            return read_synsets(spark, f"{folder}/{sub}/{'all.hindi' if 'all.hindi' in names else names[0]}")
+    raise FileNotFoundError(f"no synset file in {folder}")
+
+
+def read_dictionary_folder(spark: SparkSession, folder: str, lang: str = "hi") -> DataFrame:
+    """The first ``*.jsonl`` file of a folder, by name."""
+    names = [n for n in _files(spark, folder) if n.endswith(".jsonl")]
+    if not names:
+        raise FileNotFoundError(f"no .jsonl file in {folder}")
+    return read_dictionary(spark, f"{folder}/{names[0]}", lang)
+
+
 def parse_dictionary_lines(lines: DataFrame, column: str = "line", lang: str = "hi") -> DataFrame:
     """Words (with forms and senses) of raw JSON lines in one language.
 
@@ -63,9 +99,10 @@ def parse_dictionary_lines(lines: DataFrame, column: str = "line", lang: str = "
     left out. Examples keep their raw text: they are objects or strings.
     """
     text = F.col(column)
-    parsed = lines.where(strip(F.coalesce(text, F.lit(""))) != "").withColumn("_v", F.try_parse_json(text)).withColumn("_j", F.from_json(text, LINE))
+    parsed = lines.where(strip(F.coalesce(text, F.lit(""))) != "").withColumn("_v", F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))).withColumn("_j", F.from_json(text, LINE))
     has_redirect = F.coalesce(F.array_contains(F.json_object_keys(text), "redirect"), F.lit(False))
-    return parsed.where(F.col("_v").isNotNull() & (F.col("_j.lang_code") == lang) & ~has_redirect).select(*[c for c in lines.columns if c != column], "_j.word", "_j.pos", "_j.forms", "_j.senses")
+    one = F.col("_v").isNotNull() & F.expr("try_variant_get(_v, '$[1]', 'variant') is null")  # one value and nothing behind it
+    return parsed.where(one & (F.col("_j.lang_code") == lang) & ~has_redirect).select(*[c for c in lines.columns if c != column], "_j.word", "_j.pos", "_j.forms", "_j.senses")
 
 
 def form_roman(forms: Column) -> Column:
@@ -98,40 +135,74 @@ def dictionary_entries(words: DataFrame) -> DataFrame:
     s = F.col("s")
     out = x.select(
         *[c for c in x.columns if c not in ("i", "s", "word", "pos")], F.format_string("WK-%s-%s-%d", F.coalesce("word", F.lit("")), F.coalesce("pos", F.lit("")), "i").alias("id"), F.col("word").alias("word_hindi"), F.coalesce("pos", F.lit("")).alias("part_of_speech"),
-        sense_definition(s).alias("definition"), sense_example(s).alias("example_sentence"), s["tags"].alias("tags"), F.transform(s["synonyms"], lambda w: w["word"]).alias("synonyms"), F.transform(s["antonyms"], lambda w: w["word"]).alias("antonyms"), F.lit("Wiktionary").alias("source"), F.lit(0.85).alias("confidence_score"),
+        sense_definition(s).alias("definition"), sense_example(s).alias("example_sentence"), s["tags"].alias("tags"), _named(s["synonyms"]).alias("synonyms"), _named(s["antonyms"]).alias("antonyms"), F.lit("Wiktionary").alias("source"), F.lit(0.85).alias("confidence_score"),
+        F.col("i").cast("long").alias("sense"), F.array().cast("array<string>").alias("synsets"),
     )
-    return out.where("definition <> ''")
+    return out.where("definition <> ''").withColumn("all_examples", F.when(F.col("example_sentence") != "", F.array("example_sentence")).otherwise(F.array().cast("array<string>")))
+
+
+def _named(words: Column) -> Column:
+    """The words of a list of objects, without empty ones."""
+    return F.filter(F.transform(words, lambda w: w["word"]), lambda w: F.coalesce(w, F.lit("")) != "")
 
 
 def read_dictionary(spark: SparkSession, path: str, lang: str = "hi") -> DataFrame:
     return dictionary_entries(parse_dictionary_lines(spark.read.text(path).withColumnRenamed("value", "line"), "line", lang))
 
 
+def _normal_names(df: DataFrame) -> dict[str, str]:
+    return {c.strip().lower(): c for c in reversed(df.columns)}
+
+
 def aliased(df: DataFrame) -> DataFrame:
-    """The supplemental fields of a table with any of their header names (case and blanks don't matter)."""
-    by_name = {re.sub(r"[\s_]+", "_", c.strip().lower()): c for c in reversed(df.columns)}
-    fields = []
-    for field, names in ALIASES.items():
-        found = [F.nullif(strip(F.col(f"`{by_name[n]}`").cast("string")), F.lit("")) for n in names if n in by_name]
-        fields.append(F.coalesce(*found, F.lit("")).alias(field))
+    """The supplemental fields of a table with any of their header names (case and outer blanks don't matter)."""
+    there = _normal_names(df)
+    fields = [next((strip(F.coalesce(F.col(f"`{there[n]}`").cast("string"), F.lit(""))) for n in names if n in there), F.lit("")).alias(field) for field, names in HEADERS.items()]
+    return df.select(*fields).where("word_hindi <> '' or definition <> ''")
+
+
+def named(df: DataFrame) -> DataFrame:
+    """The supplemental fields of JSON objects with any of their names."""
+    fields = [F.coalesce(*[F.nullif(strip(F.col(f"`{n}`").cast("string")), F.lit("")) for n in names if n in df.columns], F.lit("")).alias(field) for field, names in NAMES.items()]
     return df.select(*fields).where("word_hindi <> '' or definition <> ''")
 
 
 def read_supplemental(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV, JSON array or JSON lines file; other suffixes are refused. source: supplemental/<name>."""
+    """A CSV, JSON array or JSON lines file, in its order (``place``); other suffixes are refused. source: supplemental/<name>.
+
+    JSON text of several lines whose first one is an object is read line by
+    line, broken lines being left out; anything else must be one array, else there are no rows.
+    """
     name, suffix = re.fullmatch(r"(?:.*/)?([^/]*?)\.([^.]+)", path).groups()
     suffix = suffix.lower()
     if suffix == "csv":
-        df = spark.read.option("header", True).csv(path)
-    elif suffix == "jsonl":
-        df = spark.read.json(path)
-    elif suffix == "json":
+        rows = aliased(spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path))
+    elif suffix in ("json", "jsonl"):
         head = spark.read.text(path).where(F.trim("value") != "").limit(2).collect()
-        lines = len(head) > 1 and head[0][0].strip().startswith("{") and head[0][0].strip().endswith("}")
-        df = spark.read.json(path) if lines else spark.read.option("multiLine", True).json(path)
+        if len(head) > 1 and head[0][0].strip().startswith("{") and head[0][0].strip().endswith("}"):
+            df = spark.read.option("mode", "DROPMALFORMED").json(path)
+        elif head and head[0][0].strip().startswith("["):
+            df = spark.read.option("multiLine", True).json(path)
+        else:
+            df = spark.createDataFrame([], "word_hindi string, definition string")
+        rows = named(df)
     else:
         raise ValueError(f"no reader for .{suffix}")
-    return aliased(df).withColumns({"source": F.lit(f"supplemental/{name}"), "confidence_score": F.lit(0.7)})
+    return rows.withColumn("place", F.monotonically_increasing_id()).withColumn("source", F.lit(f"supplemental/{name}")).withColumns({c: F.expr(x) for c, x in SUPPLEMENT.items()})
+
+
+def read_supplemental_folder(spark: SparkSession, folder: str) -> DataFrame | None:
+    """All files of a folder that have a reader, by name; ids SUP-<name>-<running number>; None if there are none."""
+    from lexmill.sinks.writers import number_rows
+
+    out = None
+    for i, name in enumerate(n for n in _files(spark, folder) if n.rpartition(".")[2].lower() in ("csv", "json", "jsonl")):
+        part = read_supplemental(spark, f"{folder}/{name}").withColumn("file", F.lit(i))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        return None
+    numbered = number_rows(out, [F.col("file"), F.col("place")], "_n")
+    return numbered.withColumn("id", F.concat(F.lit("SUP-"), F.regexp_replace("source", "^supplemental/", ""), F.lit("-"), (F.col("_n") - 1).cast("string"))).withColumn("place", F.col("_n")).drop("_n", "file")
 
 
 def read_linkage(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexmill.operators.dedup import dedup_by_definition, dedup_by_roman
 from lexmill.operators.merge import fuzzy_best, merge_dictionaries
@@ -22,15 +23,15 @@ def fold(rows):
     for r in rows:
         if not r[2]:
             continue
-        e = {"ord": r[0], "d": r[3] or "", "pos": r[4] or "", "ex": r[5] or "", "src": [r[6]], "all": set(r[7] or [r[6]]), "n": 1}
+        e = {"ord": r[0], "d": r[3] or "", "pos": r[4] or "", "ex": r[5] or "", "src": [r[6]], "all": r[7] or [r[6]], "n": 1}
         old = out.get(r[2])
         if old is None:
             out[r[2]] = e
             continue
         a, b = (e, old) if score(e) > score(old) else (old, e)
-        a.update(ex=a["ex"] or b["ex"], pos=a["pos"] or b["pos"], all=a["all"] | b["all"], n=old["n"] + 1)
+        a.update(ex=a["ex"] or b["ex"], pos=a["pos"] or b["pos"], all=list(dict.fromkeys(a["all"] + b["all"])), n=old["n"] + 1)
         out[r[2]] = a
-    return {k: (e["ord"], e["n"], e["ex"], e["pos"], sorted(e["all"])) for k, e in out.items()}
+    return {k: (e["ord"], e["n"], e["ex"], e["pos"], e["all"]) for k, e in out.items()}
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -58,8 +59,12 @@ def test_definition_dedup_joins_sources(spark):
 def test_merge_first_match(spark):
     p = spark.createDataFrame([(1, "घर", "", "a", "", "", "p", None, 0.0), (2, "घर", "", "a", "", "own", "p", None, 0.0)], SCHEMA)
     s = spark.createDataFrame([(5, "घर", "", "A ", "", "x", "s", None, 0.0), (6, "घर", "", "b", "", None, "s", None, 0.0), (7, "घर", "", "a", "", "y", "s", None, 0.0)], SCHEMA)
-    got = sorted(map(tuple, merge_dictionaries(p, s).collect()))
-    assert got == [(1, "primary", 2, "x"), (2, "primary", 0, "own"), (6, "secondary", 0, "")]
+    lists = lambda df, x: df.withColumns({"synsets": F.array(F.lit("s1"), F.concat(F.lit("s"), F.col("rec_id").cast("string"))), "all_examples": F.when(F.col("rec_id") == 1, F.array(F.lit("own"))).otherwise(F.array(F.lit(x), F.lit("")))})
+    m = merge_dictionaries(lists(p, "o"), lists(s, "x").withColumn("tags", F.lit("t")))
+    got = sorted((r.rec_id, r.origin, r.n_merged, r.example_sentence, r.synsets, r.all_examples, r.tags) for r in m.collect())
+    assert got == [
+        (1, "primary", 2, "x", ["s1", "s5", "s7"], ["own", "x"], None), (2, "primary", 0, "own", ["s1", "s2"], ["o", ""], None), (6, "secondary", 0, "", ["s1", "s6"], ["x", ""], "t"),
+    ]
     assert merge_dictionaries(p.limit(0), s.limit(0)).count() == 0
 
 

@@ -21,7 +21,7 @@ def test_dictionary_lines(spark):
         {"word": "घर", "lang_code": "hi", "pos": "noun", "forms": [{"form": "x", "tags": []}, {"form": "ghar", "tags": ["romanization"]}], "senses": [{"glosses": ["house"], "examples": [{"text": "t", "translation": "u"}], "tags": ["masc"], "synonyms": [{"word": "मकान"}]}, {"glosses": []}, {"raw_glosses": ["(old) home"], "examples": ["plain"]}]},
         {"word": "x", "lang_code": "mr", "senses": [{"glosses": ["y"]}]}, {"word": "r", "lang_code": "hi", "redirect": "q", "senses": [{"glosses": ["y"]}]}, {"word": "n", "lang_code": "hi"},
     ]
-    df = spark.createDataFrame([(i, json.dumps(x, ensure_ascii=False)) for i, x in enumerate(lines)] + [(8, "{broken"), (9, ""), (10, None)], "line_no long, line string")
+    df = spark.createDataFrame([(i, json.dumps(x, ensure_ascii=False)) for i, x in enumerate(lines)] + [(8, "{broken"), (9, ""), (10, None), (11, json.dumps(lines[0]) + ","), (12, json.dumps(lines[0]) + " {}")], "line_no long, line string")
     e = d.dictionary_entries(d.parse_dictionary_lines(df)).orderBy("id").collect()
     assert [(r.id, r.word_hinglish_roman, r.definition, r.example_sentence, r.synonyms) for r in e] == [("WK-घर-noun-0", "ghar", "house", "t (u)", ["मकान"]), ("WK-घर-noun-2", "ghar", "home", "plain", None)]
 
@@ -33,6 +33,29 @@ def test_supplemental(spark, tmp_path, name, body):
     assert [(x.word_hindi, x.definition, x.word_hinglish_roman, x.source) for x in r] == [("घर", "house", "ghar", f"supplemental/{name[0]}")]
 
 
+def test_header_and_name_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("word, HINDI ,definition,english,eng\nx,घर,d,house,z\n", encoding="utf-8")
+    assert [(r.word_hindi, r.definition) for r in d.read_supplemental(spark, str(tmp_path / "a.csv")).collect()] == [("घर", "house")]
+    (tmp_path / "b.json").write_text('[{"word_hindi": "", "hindi": "घर", "english": "house", "meaning": "home"}]', encoding="utf-8")
+    assert [(r.word_hindi, r.definition) for r in d.read_supplemental(spark, str(tmp_path / "b.json")).collect()] == [("घर", "home")]
+    (tmp_path / "c.json").write_text('{"word": "one"}', encoding="utf-8")
+    assert d.read_supplemental(spark, str(tmp_path / "c.json")).count() == 0
+
+
+def test_folders(spark, tmp_path):
+    (tmp_path / "s").mkdir(), (tmp_path / "iwn_data" / "synsets").mkdir(parents=True)
+    (tmp_path / "s" / "b.csv").write_text("hindi,english\nक,k\nख,kh\n", encoding="utf-8")
+    (tmp_path / "s" / "a.jsonl").write_text('{"word": "घर", "meaning": "house"}\nbroken\n{"word": "आम", "meaning": "mango"}\n', encoding="utf-8")
+    (tmp_path / "s" / "c.txt").write_text("no")
+    got = [(r.id, r.word_hindi, r.source) for r in d.read_supplemental_folder(spark, str(tmp_path / "s")).orderBy("place").collect()]
+    assert got == [("SUP-a-0", "घर", "supplemental/a"), ("SUP-a-1", "आम", "supplemental/a"), ("SUP-b-2", "क", "supplemental/b"), ("SUP-b-3", "ख", "supplemental/b")]
+    assert d.read_supplemental_folder(spark, str(tmp_path / "none")) is None
+    (tmp_path / "iwn_data" / "synsets" / "all.noun").write_text("12\tGhar\tg\tnoun\n", encoding="utf-8")
+    assert [(r.word_hindi, r.word_hinglish_roman) for r in d.read_synset_folder(spark, str(tmp_path)).collect()] == [("Ghar", "ghar")]
+    with pytest.raises(FileNotFoundError):
+        d.read_dictionary_folder(spark, str(tmp_path))
+
+
 def test_small_readers(spark, tmp_path):
     (tmp_path / "l.tsv").write_text("# c\n1\t7\thome\tघर\n2\t7\thouse\tघर\nx\n", encoding="utf-8")
     assert [tuple(r) for r in d.read_linkage(spark, str(tmp_path / "l.tsv")).collect()] == [(7, "house")]
@@ -56,10 +79,12 @@ def test_keyboard_file(spark, tmp_path):
     assert safe.count() + out.count() == 5
 
 
-def test_sql_dump_quotes(spark):
+def test_sql_dump_quotes(spark, tmp_path):
     e = spark.createDataFrame([(f"i{n}", "it's") for n in range(25)], "id string, v string")
-    got = [r.stmt for r in writers.sql_dump(e, ["id", "v"], "t").collect()]
-    assert sum(s.count("'it''s'") for s in got) == 25 and all(s.count("),(") < 10 for s in got)
+    got = [r.stmt for r in writers.sql_dump(e, ["id", "v"], "t", ["id"]).orderBy("n").collect()]
+    assert [s.count("'it''s'") for s in got] == [10, 10, 5] and got[0].startswith("INSERT INTO t (id,v) VALUES ('i0','it''s'),('i1',") and got[2].endswith(");")
+    writers.write_dump(writers.sql_dump(e, ["id", "v"], "t", ["id"]), str(tmp_path / "dump"))
+    assert "".join(p.read_text() for p in sorted((tmp_path / "dump").glob("part-*"))).splitlines() == got
 
 
 def test_flags_and_model(spark):
