@@ -19,18 +19,33 @@ def term_set(terms: DataFrame, column: str = "term") -> DataFrame:
     return terms.select(F.trim(normalize_safety(F.col(column))).alias("term")).where("term <> ''").distinct()
 
 
+#: Listed terms that go into a plan as a value; longer lists are joined.
+INLINE_TERMS = 2_000
+
+
 def flag_entries(entries: DataFrame, terms: DataFrame, column: str = "word_hinglish_roman", id_col: str = "rec_id") -> DataFrame:
     """``entries`` with profanity and severity_score (1.0 or 0.0): a token of ``column`` is a listed term.
 
-    A semi join of tokens, so the list may be of any size; AQE broadcasts it
-    while its measured size is small. Ids must be unique.
+    A list of up to ``INLINE_TERMS`` terms, counted first, is compared in place;
+    a longer one by a semi join of tokens, with the same result. Ids must be unique.
     """
-    tokens = entries.select(F.col(id_col).alias("_i"), F.explode(F.split(F.trim(normalize_safety(F.coalesce(F.col(column), F.lit("")))), "\\s+")).alias("term"))
+    listed = [r.term for r in term_set(terms).limit(INLINE_TERMS + 1).collect()]
+    words = F.split(F.trim(normalize_safety(F.coalesce(F.col(column), F.lit("")))), "\\s+")
+    if len(listed) <= INLINE_TERMS:
+        hit = F.arrays_overlap(words, F.lit(sorted(listed))) if listed else F.lit(False)
+        return entries.withColumns({"profanity": hit, "severity_score": F.when(hit, 1.0).otherwise(0.0)})
+    tokens = entries.select(F.col(id_col).alias("_i"), F.explode(words).alias("term"))
     hits = tokens.join(term_set(terms), "term", "left_semi").select("_i").distinct().withColumn("_hit", F.lit(True))
     hit = F.coalesce("_hit", F.lit(False))
     return entries.join(hits, F.col(id_col) == F.col("_i"), "left").withColumns({"profanity": hit, "severity_score": F.when(hit, 1.0).otherwise(0.0)}).drop("_i", "_hit")
 
 
+def score_severity(word, gloss, examples, terms: list[str]):
+    """1.0 if a token of headword, gloss or examples (an array) is a listed term, else 0.0, as a Column."""
+    words = F.split(F.trim(normalize_safety(F.concat_ws(" ", word, gloss, examples))), "\\s+")
+    return F.when(F.arrays_overlap(words, F.lit(list(terms))), 1.0).otherwise(0.0) if terms else F.lit(0.0)
+
+
 def score_texts(df: DataFrame, id_col: str, text_col: str, load: Callable[[], Callable[[list[str]], list[float]]], threshold: float = THRESHOLD) -> DataFrame:
     """(id, score, toxic) by a model that ``load`` makes once per worker: texts -> scores.
 

@@ -22,6 +22,12 @@ K1, B = 1.2, 0.75
 TOKEN = "[\\p{L}\\p{M}\\p{N}]+"
 
 
+def check_limit(limit: int) -> None:
+    """Limits are 1 to SEARCH_CAP; others are refused."""
+    if not 1 <= limit <= SEARCH_CAP:
+        raise ValueError(f"limit must be within 1 and {SEARCH_CAP}")
+
+
 def low(c: str) -> Column:
     return F.lower(F.coalesce(F.col(c), F.lit("")))
 
@@ -84,6 +90,26 @@ def best_match(entries: DataFrame, slug: str, ord_col: str = "rec_id") -> DataFr
     return hits.orderBy(F.desc("exact"), ord_col).limit(1)
 
 
+def edge_lookup(entries: DataFrame, word: str, limit: int = 10, ord_col: str = "rec_id") -> DataFrame:
+    """Entries whose headword is the word as it is written, or whose roman is its lower case; where there are none, those
+    that contain it (% and _ are wildcards, case does not matter). In their own order, 50 at most."""
+    q = word.strip()
+    exact = (F.col("word_hindi") == q) | (F.col("word_hinglish_roman") == q.lower())
+    partial = F.col("word_hindi").ilike(f"%{q}%") | F.col("word_hinglish_roman").ilike(f"%{q}%")
+    hits = entries.withColumn("tier", F.when(exact, 1).when(partial, 2)).where(F.col("tier").isNotNull() if q else F.lit(False))
+    top = hits.orderBy("tier", ord_col).limit(min(limit, LOOKUP_CAP))
+    best = top.agg(F.min("tier").alias("_best"))  # one row of at most LOOKUP_CAP
+    return top.join(F.broadcast(best), top["tier"] == best["_best"]).drop("_best")
+
+
+def edge_facets(page: DataFrame, pos: str | None = None) -> DataFrame:
+    """As ``facets``, after a page's limit: parts of speech in lower case with empty ones as "other", sources of the rows of ``pos`` alone."""
+    kind = F.coalesce(F.nullif(F.lower(F.trim("part_of_speech")), F.lit("")), F.lit("other"))
+    rows = page if pos is None else page.where(kind == pos.lower())
+    by_pos = page.groupBy(kind.alias("value")).agg(F.count("*").alias("n")).select(F.lit("pos").alias("facet"), "value", "n")
+    return by_pos.unionByName(rows.groupBy(F.col("source").alias("value")).agg(F.count("*").alias("n")).select(F.lit("source").alias("facet"), "value", "n"))
+
+
 def suggest(entries: DataFrame, q: str, limit: int = 8, ord_col: str = "rec_id") -> DataFrame:
     """(roman, hindi, tier): spellings that begin with q; exact first, then shorter, then by roman."""
     q = q.strip().lower()

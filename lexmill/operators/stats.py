@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import definition_lang, diff_class, has_devanagari, normalize_safety
@@ -59,20 +59,20 @@ def source_sets(deduped: DataFrame) -> DataFrame:
 
 
 def confidence_audit(entries: DataFrame) -> DataFrame:
-    """Per score bucket (hundredths): n, average definition length, shares with example, Devanagari and both definitions."""
+    """Per score bucket (hundredths): n, its share of all scored entries, average definition length, shares with example, toxicity, Devanagari and both definitions."""
     d = F.coalesce("definition", F.lit(""))
     share = lambda c: F.round(F.avg(c.cast("double")), 6)
     both = (F.coalesce("definition_hi", F.lit("")) != "") & (F.coalesce("definition_en", F.lit("")) != "")
-    return entries.where(F.col("confidence_score").between(0, 1)).groupBy(score_bucket(F.col("confidence_score")).alias("bucket")).agg(
-        F.count("*").alias("n"), F.round(F.avg(F.length(d)), 6).alias("avg_definition"), share(F.coalesce("example_sentence", F.lit("")) != "").alias("with_example"),
+    buckets = entries.where(F.col("confidence_score").between(0, 1)).groupBy(score_bucket(F.col("confidence_score")).alias("bucket")).agg(
+        F.count("*").alias("n"), share(severity() >= 0.5).alias("with_toxicity"), F.round(F.avg(F.length(d)), 6).alias("avg_definition"), share(F.coalesce("example_sentence", F.lit("")) != "").alias("with_example"),
         share(has_devanagari(d)).alias("with_devanagari"), share(both).alias("complete"),
     )
+    total = F.sum("n").over(Window.partitionBy())  # over 101 buckets at most
+    return buckets.withColumn("share", F.round(F.col("n") / total, 6))
 
 
 def bucket_sources(entries: DataFrame, k: int = 5) -> DataFrame:
     """(bucket, source, n, rank): the k most frequent sources of each score bucket; ties by name."""
-    from pyspark.sql import Window
-
     g = entries.where(F.col("confidence_score").between(0, 1)).groupBy(score_bucket(F.col("confidence_score")).alias("bucket"), "source").agg(F.count("*").alias("n"))
     return g.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("n"), "source")).cast("long")).where(F.col("rank") <= k)
 
@@ -104,6 +104,15 @@ def romanization_audit(entries: DataFrame, expected: DataFrame) -> DataFrame:
     return got.join(want, "word_hindi").groupBy(diff_class(F.col("actual"), F.col("expected")).alias("kind")).agg(F.count("*").alias("n"))
 
 
+def romanization_summary(entries: DataFrame, expected: DataFrame) -> DataFrame:
+    """One row: entries, those with an expected roman (covered), of these passed and failed, and both shares."""
+    want = expected.where(F.trim("roman") != "").groupBy(F.col("word_hindi").alias("_w")).agg(F.min("roman").alias("_e"))
+    got = entries.select("word_hindi", F.lower(F.trim(F.coalesce("word_hinglish_roman", F.lit("")))).alias("actual")).join(want, F.col("word_hindi") == F.col("_w"), "left")
+    share = lambda a, b: F.round(F.col(a) / F.col(b), 6)
+    totals = got.agg(F.count("*").alias("entries"), F.count("_e").alias("covered"), F.count_if(F.col("actual") == F.col("_e")).alias("passed"))
+    return totals.withColumns({"failed": F.col("covered") - F.col("passed"), "coverage": share("covered", "entries"), "pass_rate": F.when(F.col("covered") > 0, share("passed", "covered"))})
+
+
 def roman_health(entries: DataFrame) -> DataFrame:
     """One row: entries without a roman, with accents in it, with Devanagari in it."""
     r = F.coalesce("word_hinglish_roman", F.lit(""))
@@ -123,8 +132,11 @@ def histogram_bars(counts: DataFrame, width: int = 40) -> DataFrame:
     return counts.join(F.broadcast(total)).select("value", "n", F.repeat(F.lit("█"), F.greatest(F.lit(1), F.floor(F.col("n") * width / F.col("_t")).cast("int"))).alias("bar"))
 
 
-def release_notes(meta_rows: DataFrame, title: str, k: int = 5) -> str:
-    """Markdown from ``meta`` rows: totals by source, the k most frequent parts of speech."""
-    rows = meta_rows.where(F.col("metric").isin("source", "pos") & (F.col("value") != "")).groupBy("metric", "value").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "value").limit(1000).collect()
-    lines = [f"# {title}", "", "## Sources", ""] + [f"- {r['value']}: {r['n']:,}" for r in rows if r["metric"] == "source"]
-    return "\n".join(lines + ["", "## Parts of speech", ""] + [f"- {r['value']}: {r['n']:,}" for r in [x for x in rows if x["metric"] == "pos"][:k]]) + "\n"
+def release_notes(meta_rows: DataFrame, title: str, k: int = 5) -> DataFrame:
+    """(place, line): Markdown from ``meta`` rows: totals by source (all of them, most frequent first), the k most frequent parts of speech."""
+    item = F.format_string("- %s: %s", "value", F.format_number("n", 0))
+    counts = meta_rows.where(F.col("metric").isin("source", "pos") & (F.col("value") != "")).groupBy("metric", "value").agg(F.sum("n").alias("n"))
+    top = counts.where("metric = 'pos'").orderBy(F.desc("n"), "value").limit(k)
+    lines = counts.where("metric = 'source'").select(F.lit(1).alias("part"), "n", "value", item.alias("line")).unionByName(top.select(F.lit(3).alias("part"), "n", "value", item.alias("line")))
+    heads = meta_rows.sparkSession.createDataFrame([(0, f"# {title}\n\n## Sources\n"), (2, "\n## Parts of speech\n")], "part int, line string").select("part", F.lit(0).cast("long").alias("n"), F.lit("").alias("value"), "line")
+    return heads.unionByName(lines).select(F.struct("part", (-F.col("n")).alias("n"), "value").alias("place"), "line")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import score, text, translit
 from lexmill.operators import dedup, graph, lookup, merge, safety, search, stats
+from lexmill.operators.index import SearchIndex
 from lexmill.operators.packed import split_packed
-from lexmill.plans.runtime import spread, table
+from lexmill.plans.runtime import shared_folder, spread, table
 from lexmill.sinks import writers
 from lexmill.sources import dictionaries
 
@@ -71,6 +74,9 @@ _HASH = "md5(" + _SQ.format(c="coalesce(definition, '')") + ")"
 _QUALITY = f"(case {_LANG.format(c='definition')} when 'en' then 200 when 'mixed' then 100 else 0 end + length(coalesce(definition,'')) + case when source='WordNet' then 100 else 0 end + {{ex}} - case when coalesce(definition,'')='' then 500 else 0 end)::BIGINT"
 
 
+_TERMS = "select distinct trim(" + _FOLD.format(c="term") + ") term from blocklist where trim(" + _FOLD.format(c="term") + ") <> ''"
+
+
 @query(f"select {_LANG.format(c='definition')} lang, regexp_matches(coalesce(definition,''), '[ऀ-ॿ]') devanagari, count(*)::BIGINT n from entries group by all")
 def c01_script_class(spark: SparkSession, sf: str) -> DataFrame:
     e = _entries(spark, sf, "definition")
@@ -169,7 +175,6 @@ def c12_norm_text(spark: SparkSession, sf: str) -> DataFrame:
     return _entries(spark, sf).select("rec_id", text.normalize_safety(F.col("definition")).alias("t"))
 
 
-_TERMS = "select distinct trim(" + _FOLD.format(c="term") + ") term from blocklist where trim(" + _FOLD.format(c="term") + ") <> ''"
 
 
 @query(f"with t as ({_TERMS}) select rec_id, coalesce(list_has_any(string_split_regex(trim({_FOLD.format(c='word_hinglish_roman')}), '\\s+'), (select list(term) from t)), false) profane from entries")
@@ -228,11 +233,25 @@ def c25_heuristic(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", score.heuristic_toxicity(F.col("text"), ("hate", "kill", "die", "stupid", "idiot")).alias("s"))
 
 
-@query("select rec_id, coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(all_examples, []), case when coalesce(example_sentence,'') = '' then [] else [example_sentence] end))), '|'), '') examples from entries")
+@query("select rec_id, coalesce(array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), '|'), '') examples from (select rec_id, list_concat(coalesce(all_examples, []), case when coalesce(example_sentence,'') = '' then [] else [example_sentence] end) l from entries)")
 def c27_ordered_union(spark: SparkSession, sf: str) -> DataFrame:
     empty = F.array().cast("array<string>")
     own = F.when(F.coalesce("example_sentence", F.lit("")) == "", empty).otherwise(F.array("example_sentence"))
-    return _entries(spark, sf).select("rec_id", F.array_join(F.array_sort(F.array_union(F.coalesce("all_examples", empty), own)), "|").alias("examples"))
+    return _entries(spark, sf).select("rec_id", F.array_join(F.array_union(F.coalesce("all_examples", empty), own), "|").alias("examples"))
+
+
+@query(f"with t as ({_TERMS}) select rec_id, case when coalesce(list_has_any(string_split_regex(regexp_replace({_FOLD.format(c="concat_ws(' ', word_hindi, definition, array_to_string(all_examples, ' '))")}, '^ +| +$', '', 'g'), '\\s+'), (select list(term) from t)), false) then 1.0::DOUBLE else 0.0::DOUBLE end severity from entries")
+def c24_severity(spark: SparkSession, sf: str) -> DataFrame:
+    """Severity of headword, gloss and examples together."""
+    terms = [r.term for r in safety.term_set(table(spark, sf, "blocklist")).limit(safety.INLINE_TERMS).collect()]
+    return _entries(spark, sf).select("rec_id", safety.score_severity(F.col("word_hindi"), F.col("definition"), F.array_join("all_examples", " "), terms).alias("severity"))
+
+
+@query("select rec_id, replace(replace(replace(replace(replace(definition, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#x27;') escaped, coalesce(array_to_string(all_examples, ', '), '') examples, printf('%.2f', floor(confidence_score * 100) / 100) score from entries")
+def c26_formats(spark: SparkSession, sf: str) -> DataFrame:
+    """HTML escapes, lists as text, scores to two places."""
+    c = _entries(spark, sf)
+    return c.select("rec_id", writers.html_escape(F.col("definition")).alias("escaped"), writers.flat("all_examples").alias("examples"), F.when(F.col("confidence_score").isNotNull(), F.format_string("%.2f", F.floor(F.col("confidence_score") * 100).cast("double") / 100)).alias("score"))
 
 
 @query("select rec_id, coalesce(nullif(definition_en,''), nullif(definition_hinglish,''), nullif(definition,''), '') p, regexp_replace(definition, '(market)', '<mark>\\1</mark>', 'gi') h from entries")
@@ -241,15 +260,16 @@ def c28_preview(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --- sources ----------------------------------------------------------------------
-@query("""select synset_id::BIGINT synset_id, array_to_string(list_filter(list_transform(words, lambda w: trim(w)), lambda w: w <> ''), '|') words, coalesce(gloss,'') gloss, len(coalesce(examples, []))::BIGINT n_examples, trim(pos) pos
+@query("""select synset_id::BIGINT synset_id, array_to_string(list_filter(list_transform(words, lambda w: trim(w)), lambda w: w <> ''), '|') words, coalesce(gloss,'') gloss, array_to_string(coalesce(examples, []), '|') examples, trim(pos) pos
  from synsets where coalesce(trim(pos), '') <> ''""")
 def a01_synset_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Synsets written as tab-separated lines and parsed again."""
-    s = table(spark, sf, "synsets").where(F.coalesce(F.trim("pos"), F.lit("")) != "")
+    """Synsets written as tab-separated lines and parsed again; lines without a part of speech are dropped by the parser."""
+    s = table(spark, sf, "synsets")
     quoted = F.array_join(F.transform(F.coalesce("examples", F.array().cast("array<string>")), lambda x: F.concat(F.lit('"'), x, F.lit('"'))), "  /  ")
-    line = F.concat_ws("\t", F.col("synset_id").cast("string"), F.array_join("words", ","), F.concat(F.coalesce("gloss", F.lit("")), F.when(F.size(F.coalesce("examples", F.array())) > 0, F.concat(F.lit(":"), quoted)).otherwise("")), F.col("pos"))
+    gloss = F.concat(F.coalesce("gloss", F.lit("")), F.when(F.size(F.coalesce("examples", F.array())) > 0, F.concat(F.lit(":"), quoted)).otherwise(""))
+    line = F.concat_ws("\t", F.col("synset_id").cast("string"), F.array_join("words", ","), gloss, F.coalesce("pos", F.lit("")))
     p = dictionaries.parse_synsets(s.select(line.alias("value")))
-    return p.select(_long(F.col("synset_id")).alias("synset_id"), F.array_join("words", "|").alias("words"), "gloss", _long(F.size("examples")).alias("n_examples"), "pos")
+    return p.select(_long(F.col("synset_id")).alias("synset_id"), F.array_join("words", "|").alias("words"), "gloss", F.array_join("examples", "|").alias("examples"), "pos")
 
 
 @query("select synset_id::BIGINT synset_id, (i - 1)::BIGINT place, words[i] word, words[1] head from (select synset_id, words, unnest(range(1, len(words) + 1)) i from synsets)")
@@ -397,6 +417,14 @@ def e11_one_sided(spark: SparkSession, sf: str) -> DataFrame:
     return graph.one_sided(graph.clean_relations(table(spark, sf, "related_words"), _entries(spark, sf, "id")))
 
 
+@query("select related_entry_id, relation_type from related_words where entry_id = (select min(entry_id) from related_words where relation_type = 'broader')")
+def e12_scalar_subquery(spark: SparkSession, sf: str) -> DataFrame:
+    """The links of one entry, which a subquery names."""
+    r = table(spark, sf, "related_words")
+    first = r.where("relation_type = 'broader'").agg(F.min("entry_id")).scalar()
+    return r.where(F.col("entry_id") == first).select("related_entry_id", "relation_type")
+
+
 # --- aggregations -----------------------------------------------------------------
 _BUCKET = "floor(confidence_score * 100 + 1e-9)::BIGINT"
 
@@ -423,8 +451,8 @@ def f03_suggest(spark: SparkSession, sf: str) -> DataFrame:
     return search.suggest(_entries(spark, sf), "Bha")
 
 
-@query(f"""select bucket, count(*)::BIGINT n, round(avg(length(d)), 6) avg_definition, round(avg((coalesce(example_sentence,'') <> '')::INT), 6) with_example, round(avg(regexp_matches(d, '[ऀ-ॿ]')::INT), 6) with_devanagari,
- round(avg((coalesce(definition_hi,'') <> '' and coalesce(definition_en,'') <> '')::INT), 6) complete from (select *, {_BUCKET} bucket, coalesce(definition,'') d from entries where confidence_score between 0 and 1) group by 1""")
+@query(f"""select bucket, count(*)::BIGINT n, round(count(*) / sum(count(*)) over (), 6) "share", round(avg((sev >= 0.5)::INT), 6) with_toxicity, round(avg(length(d)), 6) avg_definition, round(avg((coalesce(example_sentence,'') <> '')::INT), 6) with_example, round(avg(regexp_matches(d, '[ऀ-ॿ]')::INT), 6) with_devanagari,
+ round(avg((coalesce(definition_hi,'') <> '' and coalesce(definition_en,'') <> '')::INT), 6) complete from (select *, {_BUCKET} bucket, coalesce(definition,'') d, coalesce(case when isnan(severity_score) then 0 else severity_score end, 0) sev from entries where confidence_score between 0 and 1) group by 1""")
 def f05_conf_buckets(spark: SparkSession, sf: str) -> DataFrame:
     return stats.confidence_audit(_entries(spark, sf))
 
@@ -455,6 +483,12 @@ def f07_roman_health(spark: SparkSession, sf: str) -> DataFrame:
     return stats.roman_health(_entries(spark, sf))
 
 
+@query("""with w as (select word_hindi, min(roman) e from overrides where trim(roman) <> '' group by 1), g as (select e, lower(trim(coalesce(word_hinglish_roman,''))) a from entries left join w using (word_hindi)),
+t as (select count(*)::BIGINT entries, count(e)::BIGINT covered, count(*) filter (where a = e)::BIGINT passed from g) select *, covered - passed failed, round(covered / entries, 6) coverage, round(passed / covered, 6) pass_rate from t""")
+def f07_transliteration(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.romanization_summary(_entries(spark, sf, "word_hindi", "word_hinglish_roman"), table(spark, sf, "overrides"))
+
+
 # the fold, row by row
 _FOLD_CTES = f"""b as (select word_hinglish_roman roman, rec_id ord, coalesce(definition,'') d, coalesce(word_hindi,'') w, coalesce(example_sentence,'') ex, coalesce(part_of_speech,'') pos, {_QUALITY.format(ex='0')} u,
  list_filter(coalesce(sources, [source]), lambda x, i: list_position(coalesce(sources, [source]), x) = i) ss, row_number() over (partition by word_hinglish_roman order by rec_id) i from entries where coalesce(word_hinglish_roman,'') <> ''),
@@ -545,11 +579,12 @@ def f13_hash_index(spark: SparkSession, sf: str) -> DataFrame:
     return search.hash_index(_entries(spark, sf))
 
 
-@query("""with p as (select word_hinglish_roman a, lower(word_hinglish_roman) e from entries where word_hinglish_roman is not null), k as (select string_split(a,' ') a, string_split(e,' ') e from p)
-select r as "right", words, round(r / words, 6) accuracy from (select sum(len(list_filter(range(1, len(e) + 1), lambda i: a[i] = e[i])))::BIGINT r, sum(len(e))::BIGINT words from k)""")
+@query(f"""with {_roman_ctes('select word_hindi x from overrides')}, p as (select string_split(r, ' ') a, string_split(lower(trim(o.roman)), ' ') e from overrides o join roman on x = word_hindi where trim(o.roman) <> '')
+select r as "right", words, round(r / words, 6) accuracy from (select sum(len(list_filter(range(1, len(e) + 1), lambda i: a[i] = e[i])))::BIGINT r, sum(len(e))::BIGINT words from p)""")
 def f14_word_accuracy(spark: SparkSession, sf: str) -> DataFrame:
-    e = _entries(spark, sf).where("word_hinglish_roman is not null")
-    return stats.word_accuracy(e.select(F.col("word_hinglish_roman").alias("actual"), F.lower("word_hinglish_roman").alias("expected")))
+    """Romanization by rule against the given spellings, word by word."""
+    o = table(spark, sf, "overrides").where((F.trim("roman") != "") & text.has_devanagari(F.col("word_hindi")))
+    return stats.word_accuracy(o.select(translit.romanize(F.col("word_hindi")).alias("actual"), F.lower(F.trim("roman")).alias("expected")))
 
 
 @query("select rec_id, 'HIN-' || printf('%05d', row_number() over (order by rec_id)) id from entries")
@@ -584,6 +619,40 @@ def m08_best_match(spark: SparkSession, sf: str) -> DataFrame:
     return search.best_match(_entries(spark, sf), "aantit").select("rec_id", "exact")
 
 
+@query("""with h as (select *, case when word_hindi = 'aantit' or word_hinglish_roman = 'aantit' then 1 when word_hindi ilike '%aantit%' or word_hinglish_roman ilike '%aantit%' then 2 end tier from entries), t as (select * from h where tier is not null order by tier, rec_id limit 10)
+select rec_id, id, tier::INT tier from t where tier = (select min(tier) from t)""")
+def h07_edge_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return search.edge_lookup(_entries(spark, sf), " aantit").select("rec_id", "id", "tier")
+
+
+@query(f"""with p as (select *, coalesce(nullif(lower(trim(part_of_speech)), ''), 'other') k from {_TIER.format(q='market')} where tier is not null {_ORDER} limit 100)
+select 'pos' facet, k as value, count(*)::BIGINT n from p group by 2 union all select 'source', source, count(*)::BIGINT from p where k = 'noun' group by 2""")
+def f11_edge_facets(spark: SparkSession, sf: str) -> DataFrame:
+    return search.edge_facets(search.tier_search(_entries(spark, sf), "market", 100), "Noun")
+
+
+_FTS = ["word_hindi", "word_hinglish_roman", "definition"]
+_INDEXES: dict[tuple[str, str], SearchIndex] = {}
+
+
+def _index(spark: SparkSession, sf: str) -> SearchIndex:
+    """The index of a folder's entries, written to the shared folder once per session."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _INDEXES:
+        _INDEXES[key] = SearchIndex.build(_entries(spark, sf), f"{shared_folder(spark)}/index-{uuid4().hex}", _FTS)
+    return _INDEXES[key]
+
+
+@query(_lookup_sql("dhaantitaul").replace(", tier::INT tier", ""))
+def h02_lookup_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    return _index(spark, sf).lookup("Dhaantitaul").select("rec_id", "id")
+
+
+@query("select rec_id, id from entries where lower(coalesce(word_hindi,'')) = 'dhaantitaul' or lower(coalesce(word_hinglish_roman,'')) = 'dhaantitaul' order by rec_id desc limit 1")
+def m01_lookup_last(spark: SparkSession, sf: str) -> DataFrame:
+    return _index(spark, sf).lookup("Dhaantitaul", mode="last").select("rec_id", "id")
+
+
 def _bm25_sql(words: list[str], prefix: bool) -> str:
     tf = [f"len(list_filter(t, lambda x: {f'starts_with(x, {w!r})' if prefix else f'x = {w!r}'}))" for w in words]
     cols = ", ".join(f"{x} tf{i}" for i, x in enumerate(tf))
@@ -594,7 +663,6 @@ def _bm25_sql(words: list[str], prefix: bool) -> str:
 select rec_id, round({score}, 6) bm25 from y, s where {hit} order by bm25 desc, {_CONF} desc, rec_id limit 20"""
 
 
-_FTS = ["word_hindi", "word_hinglish_roman", "definition"]
 
 
 @query(_bm25_sql(["old", "market"], False))
@@ -607,6 +675,16 @@ def d06_prefix_and(spark: SparkSession, sf: str) -> DataFrame:
     return search.full_text(_entries(spark, sf), "vill peo", _FTS, prefix=True).select("rec_id", "bm25")
 
 
+@query(_bm25_sql(["old", "market"], False))
+def d06_bm25_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    return _index(spark, sf).search("old market").select("rec_id", "bm25")
+
+
+@query(_bm25_sql(["vill", "peo"], True))
+def d06_prefix_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    return _index(spark, sf).search("vill peo", prefix=True).select("rec_id", "bm25")
+
+
 @query("""select token, count(distinct ord)::BIGINT docs, count(*)::BIGINT uses from (select rec_id ord, unnest(regexp_extract_all(lower(concat_ws(' ', definition)), '[\\p{L}\\p{M}\\p{N}]+')) token from entries) group by 1""")
 def d06_inverted_index(spark: SparkSession, sf: str) -> DataFrame:
     return search.inverted_index(_entries(spark, sf), ["definition"]).groupBy("token").agg(F.count("*").alias("docs"), F.sum("tf").alias("uses"))
@@ -658,14 +736,25 @@ def i05_partition(spark: SparkSession, sf: str) -> DataFrame:
     return x.agg(F.count_if(F.col("s") == 1).alias("safe"), F.count_if(F.col("s") == 0).alias("excluded"), F.count("*").alias("total"))
 
 
-def _length_model():
-    return lambda texts: [min(len(t) / 200, 1.0) for t in texts]
+_INDICATORS = ("hate", "kill", "die", "stupid", "idiot")
 
 
-@query()
+def _indicator_model():
+    """A model as a worker loads it: 0.3 for each indicator a text contains."""
+    return lambda texts: [min(0.3 * sum(i in t.lower() for i in _INDICATORS), 1.0) for t in texts]
+
+
+@query("select doc_id, round(s, 6) score, s >= 0.7 toxic from (select doc_id, case when regexp_matches(coalesce(text, ''), '\\S') then least(0.3::DOUBLE * (contains(t,'hate')::INT + contains(t,'kill')::INT + contains(t,'die')::INT + contains(t,'stupid')::INT + contains(t,'idiot')::INT), 1.0) else 0 end s from (select doc_id, text, lower(coalesce(text,'')) t from documents))")
 def l02_model_udf(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of a pluggable model, one per worker."""
-    return safety.score_texts(_entries(spark, sf, "rec_id", "definition"), "rec_id", "definition", _length_model)
+    scored = safety.score_texts(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", _indicator_model)
+    return scored.select("doc_id", F.round("score", 6).alias("score"), "toxic")
+
+
+@query(f"""with c as (select source as value, count(*)::BIGINT n from entries where coalesce(source, '') <> '' group by 1), p as (select part_of_speech as value, count(*)::BIGINT n from entries where coalesce(part_of_speech,'') <> '' group by 1 order by n desc, value limit 5)
+select '# Lexicon' || chr(10) || chr(10) || '## Sources' || chr(10) line union all select format('- {{}}: {{:,}}', value, n) from c union all select chr(10) || '## Parts of speech' || chr(10) union all select format('- {{}}: {{:,}}', value, n) from p""")
+def b10_release_notes(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.release_notes(stats.meta(_entries(spark, sf)), "Lexicon").select("line")
 
 
 _BUILD_SQL = f"""with recursive raw as (select 0 s, synset_id::BIGINT a, i - 1 b, words[i] word_hindi, lower(words[i]) roman, coalesce(gloss, '') definition, coalesce(pos, '') pos, coalesce(examples[1], '') ex, examples xs, 'WordNet' source from (select *, unnest(range(1, len(words) + 1)) i from synsets)

@@ -96,3 +96,89 @@ def number_rows(df: DataFrame, by: list, column: str = "ord") -> DataFrame:
 def assign_ids(entries: DataFrame, ord_col: str = "rec_id", prefix: str = "HIN-") -> DataFrame:
     """``entries`` with id: their place in order of ``ord_col``, of five digits or more."""
     return number_rows(entries, [F.col(ord_col)], "_n").withColumn("id", F.concat(F.lit(prefix), F.format_string("%05d", "_n"))).drop("_n")
+
+
+# --- artifacts ------------------------------------------------------------------
+def without_empty(entries: DataFrame) -> DataFrame:
+    """Empty texts and lists as null, so that a compact JSON leaves them out."""
+    out = []
+    for name, kind in entries.dtypes:
+        c = F.col(f"`{name}`")
+        out.append((F.nullif(c, F.lit("")) if kind == "string" else F.when(F.size(c) > 0, c) if kind.startswith("array") else c).alias(name))
+    return entries.select(*out)
+
+
+def meta_row(entries: DataFrame, version: str, built: str, description: str = "") -> DataFrame:
+    """One row: version, date, description, totals, and the counts of ``stats.meta`` as one map per metric."""
+    from lexmill.operators.stats import meta
+
+    counts = meta(entries).groupBy().pivot("metric", ["source", "pos", "lang", "confidence", "multi_source"]).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("value", "n")))))
+    totals = entries.agg(F.count("*").alias("total_entries"), F.count_if(is_safe()).alias("safe_entries"), F.count_if(~is_safe()).alias("excluded_entries"))
+    head = [F.lit(version).alias("version"), F.lit(built).alias("built"), F.lit(description).alias("description")]
+    return totals.crossJoin(counts).select(*head, "total_entries", "safe_entries", "excluded_entries", "source", "pos", "lang", "confidence", "multi_source")
+
+
+def write_artifacts(entries: DataFrame, path: str, version: str, built: str, locale: str = "hi_Latn") -> None:
+    """The lexicon's files: full, compact, safe and safe compact JSON lines with a meta row each, the excluded list with its total, keyboard dictionary and word list.
+
+    Every file is a folder of part files written in parallel; nothing is
+    gathered into one document.
+    """
+    safe, excluded = split_safe(entries)
+    for name, df in (("full", entries), ("safe", safe)):
+        write_json(df, f"{path}/{name}", compact=False)
+        write_json(without_empty(df), f"{path}/{name}_compact")
+        meta_row(df, version, built, name).write.mode("overwrite").json(f"{path}/{name}_meta")
+    excluded_rows(entries).write.mode("overwrite").json(f"{path}/excluded")
+    excluded.agg(F.count("*").alias("total_excluded")).write.mode("overwrite").json(f"{path}/excluded_meta")
+    write_keyboard(keyboard_rows(entries, "ord" if "ord" in entries.columns else "rec_id", locale), f"{path}/keyboard")
+    write_words(word_list(entries), f"{path}/words")
+
+
+def write_words(words: DataFrame, path: str) -> None:
+    """The word list in code point order, as ranges of it over the part files."""
+    words.orderBy("word").select(F.col("word").alias("value")).write.mode("overwrite").text(path)
+
+
+def export_rows(entries: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows for a full-text table: entries of a severity below 0.5, arrays as comma-separated text, null texts as ''."""
+    types = dict(entries.dtypes)
+    return entries.where(is_safe()).select(*[(flat(c) if types[c].startswith("array") else F.coalesce(F.col(c), F.lit("")) if types[c] == "string" else F.col(c)).alias(c) for c in columns])
+
+
+def export_searchable(entries: DataFrame, path: str, columns: list[str], ord_col: str = "rec_id", id_col: str = "id") -> int:
+    """Write the last row of each id that is safe as a searchable index at ``path``; how many. What was there is replaced."""
+    from lexmill.operators.index import SearchIndex
+
+    last = upsert(entries.limit(0), entries, ord_col, id_col).where(is_safe())
+    types = dict(last.dtypes)
+    rows = last.select(*[flat(c).alias(c) if types[c].startswith("array") else F.col(c) for c in last.columns])
+    return SearchIndex.build(rows, path, columns, ord_col).n
+
+
+def html_escape(c: Column) -> Column:
+    """&, <, > and both quotes as entities; null stays."""
+    for x, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        c = F.replace(c, F.lit(x), F.lit(name))
+    return c
+
+
+def write_enriched(entries: DataFrame, relations: DataFrame, path: str) -> None:
+    """Entries with their related ones (entry_id, relation_type, related_entry_id, rank) as lists by type, 20 each at most; whole and compact."""
+    names = entries.groupBy(F.col("id").alias("related_entry_id")).agg(F.min(F.struct("word_hindi", "word_hinglish_roman")).alias("n"))
+    one = F.struct("rank", F.struct(F.col("related_entry_id").alias("id"), "n.word_hindi", "n.word_hinglish_roman").alias("e"))
+    lists = relations.join(names, "related_entry_id").groupBy("entry_id").agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("relation_type") == t, one))), lambda x: x["e"]).alias(name) for t, name in (("same_synset", "same_synset"), ("broader", "broader_terms"), ("narrower", "narrower_terms"))])
+    out = entries.join(lists.withColumnRenamed("entry_id", "id"), "id", "left")
+    write_json(out, f"{path}/enriched", compact=False)
+    write_json(without_empty(out), f"{path}/enriched_min")
+
+
+def seed_tables(entries: DataFrame, relations: DataFrame, path: str, ord_col: str = "rec_id") -> dict[str, int]:
+    """Write ``entries`` (the last row of each id, all columns) and ``related_words`` (clean edges) as tables, replacing what was there; their counts, read back."""
+    from lexmill.operators.graph import clean_relations
+
+    last = upsert(entries.limit(0), entries, ord_col)
+    last.write.mode("overwrite").parquet(f"{path}/entries")
+    clean_relations(relations, last).write.mode("overwrite").parquet(f"{path}/related_words")
+    spark = entries.sparkSession
+    return {t: spark.read.parquet(f"{path}/{t}").count() for t in ("entries", "related_words")}
