@@ -11,15 +11,18 @@ collection are one row, written with the index.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lexmill.operators.search import B, K1, LOOKUP_CAP, SEARCH_CAP, _confidence, is_safe, low, tier_search, tokens
 
 #: Folders of each table, and letters by which keys and tokens are placed.
 BUCKETS, HEAD = 64, 2
+TABLES = ("entries", "keys", "postings")
 #: A token of a search text.
 _WORD = r"[^\W_](?:[^\W_]|[ऀ-ःऺ-ॏ])*"
 
@@ -33,14 +36,18 @@ class SearchIndex:
 
     def __init__(self, spark: SparkSession, path: str, ord_col: str = "rec_id"):
         self.spark, self.path, self.ord = spark, path, ord_col
-        self.entries, self.keys, self.postings = (spark.read.parquet(f"{path}/{t}") for t in ("entries", "keys", "postings"))
-        self.n, self.average, self.buckets = spark.read.parquet(f"{path}/statistics").first()
+        self.n, self.average, self.buckets, *schemas = spark.read.parquet(f"{path}/statistics").first()
+        read = lambda name, schema: spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(f"{path}/{name}")
+        self.entries, self.keys, self.postings = map(read, TABLES, schemas)
 
     @staticmethod
     def build(entries: DataFrame, path: str, columns: list[str], ord_col: str = "rec_id", buckets: int = BUCKETS) -> SearchIndex:
         """Write the index of ``entries`` over ``columns`` to a folder every executor reaches; ords must be unique."""
 
+        schemas: dict[str, str] = {}
+
         def write(df: DataFrame, name: str, *order: str) -> None:
+            schemas[name] = df.schema.json()  # (an empty table leaves no file to read it from)
             df.repartition("b").sortWithinPartitions("b", *order).write.mode("overwrite").partitionBy("b").parquet(f"{path}/{name}")
 
         write(entries.withColumn("b", _bucket(F.col(ord_col).cast("long"), buckets)), "entries", ord_col)
@@ -51,7 +58,7 @@ class SearchIndex:
         docs = entries.select(ord_, _confidence().alias("conf"), F.col("confidence_score").alias("score"), is_safe().alias("safe"), tokens(F.concat_ws(" ", *[F.col(c) for c in columns])).alias("t")).withColumn("dl", F.size("t").cast("long"))
         postings = docs.select("ord", "conf", "score", "safe", "dl", F.explode("t").alias("token")).groupBy("token", "ord", "conf", "score", "safe", "dl").agg(F.count("*").alias("tf"))
         write(postings.withColumn("b", place("token")), "postings", "token", "ord")
-        docs.agg(F.count("*").alias("n"), F.avg("dl").alias("average"), F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(f"{path}/statistics")
+        docs.agg(F.count("*").alias("n"), F.avg("dl").alias("average"), F.lit(buckets).alias("buckets"), *[F.lit(schemas[t]).alias(t) for t in TABLES]).write.mode("overwrite").parquet(f"{path}/statistics")
         return SearchIndex(entries.sparkSession, path, ord_col)
 
     def _place(self, values: list[str]) -> Column:

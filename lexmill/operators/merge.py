@@ -50,12 +50,15 @@ def fuzzy_best(targets: DataFrame, candidates: DataFrame, threshold: float = 85.
     """(target, candidate, score): for each target the best candidate of a score of at least ``threshold``.
 
     score is the greatest of the headwords' ratio h, the romans' ratio r, and
-    0.7 h + 0.3 r. Ratios count insertions and deletions only. Ties: the lower
+    0.7 h + 0.3 r. Ratios count insertions and deletions only; an empty spelling is like none. Ties: the lower
     candidate. Such a pair has h or r of at least ``threshold``, so its two
     spellings are within d = (1 - threshold) x (both lengths) deletions and
-    insertions: cut into d + 1 pieces, one spelling has a piece that stands
-    unchanged in the other, shifted by d at most. Pairs meet by such pieces, so
-    none is lost; equal (headword, roman) rows are scored once.
+    insertions: cut into d + 1 pieces, the candidate's has a piece that stands
+    unchanged in the target's, shifted by d at most. Lengths and cuts follow
+    from the candidate's length, so pairs meet by (length, piece, letters): a
+    target names the letters at all places a piece may have come to, for every
+    length that is near enough. No pair is lost, and a frequent piece is parted
+    by length and place; equal (headword, roman) rows are scored once.
     """
 
     def distinct(df: DataFrame) -> DataFrame:
@@ -64,46 +67,40 @@ def fuzzy_best(targets: DataFrame, candidates: DataFrame, threshold: float = 85.
     t = distinct(targets)
     c = distinct(candidates).groupBy("h", "r").agg(F.min("o").alias("o"))
     spelled = t.select("h", "r").distinct()
-
-    # pieces of candidates, and the places of targets where such a piece may stand
     loss = 1 - threshold / 100
     reach = (1 + loss) / (1 - loss)  # the greatest quotient of the two lengths
 
+    def cut(m: Column) -> Column:
+        """Pieces of a candidate of length m: number, place and size."""
+        k = F.greatest(F.least(F.floor(m * (1 + reach) * loss + 1e-9) + 1, m), F.lit(1)).cast("int")
+        return F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.struct(i.alias("i"), (F.floor(i * m / k) + 1).cast("int").alias("at"), (F.floor((i + 1) * m / k) - F.floor(i * m / k)).cast("int").alias("size")))
+
     def pieces(df: DataFrame, c: str) -> DataFrame:
-        n = F.length(c)
-        k = F.greatest(F.least(F.floor(n * (1 + reach) * loss + 1e-9) + 1, n), F.lit(1)).cast("int")
-        cut = F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.struct((F.floor(i * n / k) + 1).cast("int").alias("at"), (F.floor((i + 1) * n / k) - F.floor(i * n / k)).cast("int").alias("size")))
-        return df.where(n > 0).select(F.col(c).alias("s"), n.alias("n"), F.explode(cut).alias("p")).select("s", "n", F.col("p.at").alias("at"), F.substr("s", F.col("p.at"), F.col("p.size")).alias("g"), F.col("p.size").alias("size"))
+        x = df.where(F.length(c) > 0).select(F.col(c).alias("z"), F.length(c).alias("m"), F.explode(cut(F.length(c))).alias("p"))
+        return x.select("z", "m", "p.i", F.substr("z", F.col("p.at"), F.col("p.size")).alias("g"))
 
-    def places(df: DataFrame, c: str, sizes: list[int]) -> DataFrame:
+    def places(df: DataFrame, c: str) -> DataFrame:
         n = F.length(c)
-
-        def of_size(z: int) -> Column:
-            starts = F.when(n >= z, F.sequence(F.lit(1), n - z + 1)).otherwise(F.array().cast("array<int>"))
-            return F.transform(starts, lambda i: F.struct(i.alias("at"), F.substr(F.col(c), i, F.lit(z)).alias("g")))
-
-        grams = F.flatten(F.array(*[of_size(z) for z in sizes]))
-        return df.where(n > 0).select(F.col(c).alias("s"), n.alias("n"), F.explode(grams).alias("p")).select("s", "n", "p.at", "p.g")
-
-    # a piece has 1 / (loss x (1 + reach)) letters or less, one more by rounding
-    sizes = list(range(1, int(1 / (loss * (1 + reach))) + 3)) if loss > 0 else []
+        x = df.where(n > 0).select(F.col(c).alias("a"), n.alias("n"), F.explode(F.sequence(F.greatest(F.ceil(n / reach - 1e-9), F.lit(1)).cast("int"), F.floor(n * reach + 1e-9).cast("int"))).alias("m"))
+        x = x.withColumn("d", F.floor((F.col("n") + F.col("m")) * loss + 1e-9).cast("int")).where(F.abs(F.col("n") - F.col("m")) <= F.col("d")).select("a", "n", "m", "d", F.explode(cut(F.col("m"))).alias("p"))
+        first, last = F.greatest(F.col("p.at") - F.col("d"), F.lit(1)), F.least(F.col("p.at") + F.col("d"), F.col("n") - F.col("p.size") + 1)
+        x = x.where(last >= first).select("a", "m", "p.i", "p.size", F.explode(F.sequence(first, last)).alias("at"))
+        return x.select("a", "m", "i", F.substr("a", F.col("at"), F.col("size")).alias("g")).distinct()
 
     def near(c: str) -> DataFrame:
-        """Distinct (target spelling, candidate spelling) that may reach the threshold."""
+        """Distinct (target spelling, candidate spelling) that reach the threshold by themselves: one of a pair's two does."""
         a, z = spelled.select(c).distinct(), cand.select(c).distinct()
-        if not sizes:
+        if loss <= 0:
             return a.join(z, c).select(F.col(c).alias("a"), F.col(c).alias("z"))
-        x, y = places(a, c, sizes).alias("x"), pieces(z, c).alias("y")
-        d = (F.col("x.n") + F.col("y.n")) * loss + 1e-9
-        met = x.join(y, F.col("x.g") == F.col("y.g")).where((F.abs(F.col("x.n") - F.col("y.n")) <= d) & (F.abs(F.col("x.at") - F.col("y.at")) <= d))
-        return met.select(F.col("x.s").alias("a"), F.col("y.s").alias("z")).distinct()
+        met = places(a, c).join(pieces(z, c), ["m", "i", "g"]).select("a", "z").distinct()
+        return met.where(ratio(F.col("a"), F.col("z")) >= threshold)
 
     cand = c
     by_h = near("h").join(spelled.withColumnRenamed("h", "a"), "a").select(F.col("a").alias("ah"), F.col("r").alias("ar"), F.col("z").alias("zh")).join(cand.withColumnsRenamed({"h": "zh", "r": "zr"}), "zh")
     by_r = near("r").join(spelled.withColumnRenamed("r", "a"), "a").select(F.col("h").alias("ah"), F.col("a").alias("ar"), F.col("z").alias("zr")).join(cand.withColumnsRenamed({"h": "zh", "r": "zr"}), "zr")
     columns = ["ah", "ar", "zh", "zr", "o"]
     pairs = by_h.select(columns).unionByName(by_r.select(columns)).distinct()
-    sh, sr = ratio(F.col("ah"), F.col("zh")), ratio(F.col("ar"), F.col("zr"))
+    sh, sr = (F.when(F.col(a) != "", ratio(F.col(a), F.col(z))).otherwise(0.0) for a, z in (("ah", "zh"), ("ar", "zr")))
     scored = pairs.select(F.col("ah").alias("h"), F.col("ar").alias("r"), "o", sh.alias("sh"), sr.alias("sr")).withColumn("s", F.greatest("sh", "sr", F.col("sh") * 0.7 + F.col("sr") * 0.3)).where(F.col("s") >= threshold)
     best = scored.groupBy("h", "r").agg(F.max(F.struct("s", -F.col("o"))).alias("m")).select("h", "r", F.col("m.s").alias("score"), (-F.col("m.col2")).alias("candidate"))
     return t.join(best, ["h", "r"]).select(F.col("o").alias("target"), "candidate", "score")

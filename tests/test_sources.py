@@ -5,7 +5,7 @@ import pytest
 from lexmill.operators.safety import flag_entries, score_texts
 from lexmill.sinks import writers
 from lexmill.sources import dictionaries as d
-from lexmill.streaming.upserts import latest, stream_upserts
+from lexmill.streaming.upserts import _versions, latest, stream_upserts
 
 
 def test_synsets(spark, tmp_path):
@@ -105,9 +105,11 @@ def test_flags_and_model(spark):
 
 def test_stream(spark, tmp_path):
     src, out = tmp_path / "in", str(tmp_path / "t")
-    for batch in ([("a", 1, "x"), ("b", 2, "y")], [("a", 3, "z")]):
+    for batch in ([("a", 1, "x"), ("b", 2, "y")], [("a", 3, "z")], [("a", 4, "v")], [("a", 5, "z")]):
         spark.createDataFrame(batch, "id string, rec_id long, v string").coalesce(1).write.mode("append").parquet(str(src))
         q = stream_upserts(spark.readStream.schema("id string, rec_id long, v string").parquet(str(src)), out, str(tmp_path / "c"))
         q.awaitTermination(60)
         assert q.exception() is None
     assert sorted(map(tuple, latest(spark, out).select("id", "v").collect())) == [("a", "z"), ("b", "y")]
+    # a batch writes the parts it changes, and old versions go
+    assert sorted(len(v) for v in _versions(spark, out).values()) == [1, 2]
