@@ -216,3 +216,17 @@ def count_tokens(df: DataFrame, id_col: str, text_col: str, tokenizer: str = "by
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(memoryview(sizes), pa.int64()) if sizes else pa.array([], pa.int64())], names=["id", "n_tokens"])
 
     return src.mapInArrow(run, f"id {dict(src.dtypes)['id']}, n_tokens long").withColumnRenamed("id", id_col)
+
+
+def decode_corpus(df: DataFrame, id_col: str, ids_col: str, tokenizer: str = "byte_bpe_50k", tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
+    """(id, text) of lists of token ids; an empty or null list gives ''. Bytes that are no text come out as U+FFFD."""
+    src = df.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))
+    ranks = df.sparkSession.sparkContext.broadcast(vocabulary(tokenizer, tokenizer_dir))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        back = _tables(tokenizer, tokenizer_dir, ranks.value).back
+        for b in batches:
+            texts = [b"".join([back[i] for i in ids or ()]).decode("utf-8", "replace") for ids in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["id", "text"])
+
+    return src.mapInArrow(run, f"id {dict(src.dtypes)['id']}, text string").withColumnRenamed("id", id_col)

@@ -488,3 +488,52 @@ def test_running_text(spark):
     rows = [("one two three. " * 6, True), ("a b c d e f g h i j k l m n o p", False), ("The cat sat here\nThe dog ran home\nWe saw them all day\nThey came back late", True), ("<p>the cat sat.</p>" * 6, True), (None, False)]
     got = spark.createDataFrame(rows, "t string, y boolean").select("y", reading.running_text(F.col("t")).alias("z")).collect()
     assert [r.y for r in got] == [r.z for r in got]
+
+
+def test_document_without_a_telling_word_gets_the_middle(spark):
+    r = random.Random(9)
+    docs = [(i, prose(["cat", "dog", "hen"] if i % 2 else ["syntax", "lexeme", "morpheme"], r)) for i in range(40)] + [(99, "zig zag zog zug zeg. " * 4)]
+    lab = spark.createDataFrame([(i, 1 if i % 2 else 4) for i in range(20)], "doc_id long, grade int")
+    got = {x.doc_id: (x.grade, x.level) for x in reading.reading_levels(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", lab).collect()}
+    assert len(got) == 41 and all(got[i][0] == (1 if i % 2 else 4) for i in range(40)) and 1 < got[99][1] < 4
+
+
+def test_reading_shuffles_no_words_and_broadcasts_only_ratings(spark):
+    """The plans of every job: no exchange or broadcast of texts or words but the count of words and their sums."""
+    seen = []
+    real = reading.durable
+    reading.durable = lambda df: (seen.append(df._jdf.queryExecution().executedPlan().toString()), real(df))[1]
+    try:
+        docs = spark.createDataFrame([(i, "the cat sat on the mat and saw a dog. " * 3) for i in range(8)], "doc_id long, text string")
+        reading.reading_levels(docs, "doc_id", "text", spark.createDataFrame([(1, 1), (2, 2)], "doc_id long, grade int")).count()
+    finally:
+        reading.durable = real
+    joins = [p for p in seen if "Join" in p]
+    assert len(joins) == 1 and sum("Exchange" in p for p in seen[2:]) == sum("s0" in p and "Exchange" in p for p in seen[2:])
+
+
+def test_decoding_gives_the_text_back(spark):
+    if not (TOKENIZERS / "byte_bpe_50k.tiktoken").exists():
+        pytest.skip("no vocabulary files")
+    texts = [(1, "घर is a house 😀\n"), (2, ""), (3, None)]
+    ids = bpe.encode_corpus(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text")
+    assert {r.doc_id: r.text for r in bpe.decode_corpus(ids, "doc_id", "ids").collect()} == {1: texts[0][1], 2: "", 3: ""}
+
+
+@pytest.mark.parametrize("name", ["p1_values", "p6_roundtrip", "p7_checks", "p8_graded"])
+def test_against_sql(spark, name):
+    import duckdb
+
+    from lexmill.llm import queries
+
+    sf = Path("/root/testdata/sf0.001")
+    if not sf.exists():
+        pytest.skip("no test tables")
+    con = duckdb.connect()
+    for p in sf.glob("*.parquet"):
+        con.execute(f"create view {p.stem} as select * from read_parquet('{p}')")
+    df = queries.queries()[name](spark, str(sf))
+    cur = con.execute(queries.oracle_sql()[name])
+    columns = sorted(d[0] for d in cur.description)
+    assert sorted(df.columns) == columns
+    assert sorted(map(str, df.select(columns).collect())) == sorted(str(row) for row in df.sparkSession.createDataFrame(con.execute(f"select {', '.join(columns)} from ({queries.oracle_sql()[name]})").fetchall(), df.select(columns).schema).collect())
