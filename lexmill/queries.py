@@ -243,7 +243,9 @@ def c27_ordered_union(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"with t as ({_TERMS}) select rec_id, case when coalesce(list_has_any(string_split_regex(regexp_replace({_FOLD.format(c="concat_ws(' ', word_hindi, definition, array_to_string(all_examples, ' '))")}, '^ +| +$', '', 'g'), '\\s+'), (select list(term) from t)), false) then 1.0::DOUBLE else 0.0::DOUBLE end severity from entries")
 def c24_severity(spark: SparkSession, sf: str) -> DataFrame:
     """Severity of headword, gloss and examples together."""
-    terms = [r.term for r in safety.term_set(table(spark, sf, "blocklist")).limit(safety.INLINE_TERMS).collect()]
+    terms = [r.term for r in safety.term_set(table(spark, sf, "blocklist")).limit(safety.INLINE_TERMS + 1).collect()]
+    if len(terms) > safety.INLINE_TERMS:
+        raise ValueError("a list this long must be joined")
     return _entries(spark, sf).select("rec_id", safety.score_severity(F.col("word_hindi"), F.col("definition"), F.array_join("all_examples", " "), terms).alias("severity"))
 
 

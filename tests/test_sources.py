@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from lexmill.operators import safety
 from lexmill.operators.safety import flag_entries, score_texts
 from lexmill.sinks import writers
 from lexmill.sources import dictionaries as d
@@ -92,6 +93,13 @@ def test_flags_and_model(spark):
     t = spark.createDataFrame([(" bad ",), ("",), (None,)], "term string")
     assert {r.rec_id: (r.profanity, r.severity_score) for r in flag_entries(e, t).collect()} == {1: (True, 1.0), 2: (False, 0.0), 3: (False, 0.0)}
 
+    before, safety.INLINE_TERMS = safety.INLINE_TERMS, 0  # a longer list is joined, with the same result
+    try:
+        assert {r.rec_id: (r.profanity, r.severity_score) for r in flag_entries(e, t).collect()} == {1: (True, 1.0), 2: (False, 0.0), 3: (False, 0.0)}
+    finally:
+        safety.INLINE_TERMS = before
+    assert not any(r.profanity for r in flag_entries(e, t.limit(0)).collect())
+
     def load():
         def model(texts):
             if "good" in texts and len(texts) > 1:
