@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.functions.fuzzy import ratio
+from lexmill.functions.fuzzy import CELL_ROWS, EXACT_LETTERS, near_pairs, ratio
 from lexmill.functions.text import definition_hash, normalize_hindi
 
 
@@ -46,61 +47,68 @@ def merge_dictionaries(primary: DataFrame, secondary: DataFrame, ord_col: str =
     return kept.drop("_h", "_d", "_o").unionByName(rest.drop("_h", "_d", "_o"), allowMissingColumns=True)
 
 
-def fuzzy_best(targets: DataFrame, candidates: DataFrame, threshold: float = 85.0, ord_col: str = "rec_id") -> DataFrame:
+def fuzzy_best(targets: DataFrame, candidates: DataFrame, threshold: float = 85.0, ord_col: str = "rec_id", cell_rows: int = CELL_ROWS) -> DataFrame:
     """(target, candidate, score): for each target the best candidate of a score of at least ``threshold``.
 
     score is the greatest of the headwords' ratio h, the romans' ratio r, and
     0.7 h + 0.3 r. Ratios count insertions and deletions only; an empty spelling is like none. Ties: the lower
-    candidate. Such a pair has h or r of at least ``threshold``, so its two
-    spellings are within d = (1 - threshold) x (both lengths) deletions and
-    insertions: cut into d + 1 pieces, the candidate's has a piece that stands
-    unchanged in the target's, shifted by d at most. Lengths and cuts follow
-    from the candidate's length, so pairs meet by (length, piece, letters): a
-    target names the letters at all places a piece may have come to, for every
-    length that is near enough. No pair is lost, and a frequent piece is parted
-    by length and place; equal (headword, roman) rows are scored once.
+    candidate. A mean is no more than the greater of its two (but for the last bit where
+    they are equal), so the best candidate is one of the best by headword alone or by roman
+    alone. Spellings meet in cells of (length of the target's, length of the candidate's),
+    large ones cut into ``cell_rows`` rows of each side, and a cell's near pairs are found in
+    numpy (``near_pairs``). No pair is lost, a spelling goes to as many cells as there are lengths near
+    its own, and nothing goes through the driver but the lengths that fill more than one cell.
     """
 
     def distinct(df: DataFrame) -> DataFrame:
         return df.select(normalize_hindi(F.coalesce("word_hindi", F.lit(""))).alias("h"), F.lower(F.trim(F.coalesce("word_hinglish_roman", F.lit("")))).alias("r"), F.col(ord_col).cast("long").alias("o"))
 
+    def by_field(df: DataFrame) -> DataFrame:
+        """(f, w, *columns): each row once by its headword and once by its roman, if it has one."""
+        return df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).alias("w")) for i, c in enumerate("hr")])).alias("x"), "*").select("x.f", "x.w", *df.columns).where("w <> ''")
+
     t = distinct(targets)
-    c = distinct(candidates).groupBy("h", "r").agg(F.min("o").alias("o"))
-    spelled = t.select("h", "r").distinct()
+    spelled, cand = t.select("h", "r").distinct(), distinct(candidates).groupBy("h", "r").agg(F.min("o").alias("o"))
     loss = 1 - threshold / 100
     reach = (1 + loss) / (1 - loss)  # the greatest quotient of the two lengths
 
-    def cut(m: Column) -> Column:
-        """Pieces of a candidate of length m: number, place and size."""
-        k = F.greatest(F.least(F.floor(m * (1 + reach) * loss + 1e-9) + 1, m), F.lit(1)).cast("int")
-        return F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.struct(i.alias("i"), (F.floor(i * m / k) + 1).cast("int").alias("at"), (F.floor((i + 1) * m / k) - F.floor(i * m / k)).cast("int").alias("size")))
-
-    def pieces(df: DataFrame, c: str) -> DataFrame:
-        x = df.where(F.length(c) > 0).select(F.col(c).alias("z"), F.length(c).alias("m"), F.explode(cut(F.length(c))).alias("p"))
-        return x.select("z", "m", "p.i", F.substr("z", F.col("p.at"), F.col("p.size")).alias("g"))
-
-    def places(df: DataFrame, c: str) -> DataFrame:
-        n = F.length(c)
-        x = df.where(n > 0).select(F.col(c).alias("a"), n.alias("n"), F.explode(F.sequence(F.greatest(F.ceil(n / reach - 1e-9), F.lit(1)).cast("int"), F.floor(n * reach + 1e-9).cast("int"))).alias("m"))
-        x = x.withColumn("d", F.floor((F.col("n") + F.col("m")) * loss + 1e-9).cast("int")).where(F.abs(F.col("n") - F.col("m")) <= F.col("d")).select("a", "n", "m", "d", F.explode(cut(F.col("m"))).alias("p"))
-        first, last = F.greatest(F.col("p.at") - F.col("d"), F.lit(1)), F.least(F.col("p.at") + F.col("d"), F.col("n") - F.col("p.size") + 1)
-        x = x.where(last >= first).select("a", "m", "p.i", "p.size", F.explode(F.sequence(first, last)).alias("at"))
-        return x.select("a", "m", "i", F.substr("a", F.col("at"), F.col("size")).alias("g")).distinct()
-
-    def near(c: str) -> DataFrame:
-        """Distinct (target spelling, candidate spelling) that reach the threshold by themselves: one of a pair's two does."""
-        a, z = spelled.select(c).distinct(), cand.select(c).distinct()
-        if loss <= 0:
-            return a.join(z, c).select(F.col(c).alias("a"), F.col(c).alias("z"))
-        met = places(a, c).join(pieces(z, c), ["m", "i", "g"]).select("a", "z").distinct()
-        return met.where(ratio(F.col("a"), F.col("z")) >= threshold)
-
-    cand = c
-    by_h = near("h").join(spelled.withColumnRenamed("h", "a"), "a").select(F.col("a").alias("ah"), F.col("r").alias("ar"), F.col("z").alias("zh")).join(cand.withColumnsRenamed({"h": "zh", "r": "zr"}), "zh")
-    by_r = near("r").join(spelled.withColumnRenamed("r", "a"), "a").select(F.col("h").alias("ah"), F.col("a").alias("ar"), F.col("z").alias("zr")).join(cand.withColumnsRenamed({"h": "zh", "r": "zr"}), "zr")
-    columns = ["ah", "ar", "zh", "zr", "o"]
-    pairs = by_h.select(columns).unionByName(by_r.select(columns)).distinct()
-    sh, sr = (F.when(F.col(a) != "", ratio(F.col(a), F.col(z))).otherwise(0.0) for a, z in (("ah", "zh"), ("ar", "zr")))
-    scored = pairs.select(F.col("ah").alias("h"), F.col("ar").alias("r"), "o", sh.alias("sh"), sr.alias("sr")).withColumn("s", F.greatest("sh", "sr", F.col("sh") * 0.7 + F.col("sr") * 0.3)).where(F.col("s") >= threshold)
+    def band(n: Column) -> Column:
+        """The length; of long spellings, a range of lengths."""
+        return F.when(n <= EXACT_LETTERS, n).otherwise(EXACT_LETTERS + 1 + F.floor(F.log(n / EXACT_LETTERS) * 4)).cast("int")
+
+    words = [by_field(df.select("h", "r")).select("f", "w", F.length("w").alias("n")).distinct().withColumn("b", band(F.col("n"))) for df in (spelled, cand)]
+    sizes = [df.groupBy("f", "b").agg(F.count("*").alias("k")).where(F.col("k") > cell_rows).select(F.lit(i).alias("side"), "*") for i, df in enumerate(words)]
+    full = {(x.side, x.f, x.b): -(-x.k // cell_rows) for x in sizes[0].unionByName(sizes[1]).collect()}
+
+    def slices(side: int, b: str) -> Column:
+        """Number of parts of a side's spellings of one field and band."""
+        out = F.lit(1)
+        for (s, f, k), n in full.items():
+            if s == side:
+                out = F.when((F.col("f") == f) & (F.col(b) == k), n).otherwise(out)
+        return out
+
+    def cells(side: int, own: str, other: str, part: str, parts: str) -> DataFrame:
+        n = F.col("n")
+        near = F.sequence(band(F.greatest(F.ceil(n / reach - 1e-9), F.lit(1))), band(F.floor(n * reach + 1e-9)))
+        x = words[side].select("f", "w", F.col("b").alias(own), F.pmod(F.xxhash64("w"), slices(side, "b")).cast("int").alias(part), F.explode(near).alias(other))
+        return x.withColumn(parts, F.explode(F.sequence(F.lit(0), slices(1 - side, other) - 1)))
+
+    def meet(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        lengths: list[dict[int, list[str]]] = [{}, {}]
+        for side, words in zip(lengths, (left, right), strict=True):
+            for w in words.column("w").to_pylist():
+                side.setdefault(len(w), []).append(w)
+        got = [x for a in lengths[0].values() for z in lengths[1].values() for x in near_pairs(a, z, threshold)]
+        return pa.table([pa.array([key[0].as_py()] * len(got), pa.int32()), pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.string()), pa.array([x[2] for x in got], pa.float64())], ["f", "w", "z", "s"])
+
+    key = ["f", "n", "m", "i", "j"]
+    met = cells(0, "n", "m", "i", "j").groupBy(*key).cogroup(cells(1, "m", "n", "j", "i").groupBy(*key)).applyInArrow(meet, "f int, w string, z string, s double")
+    top = met.withColumn("most", F.max("s").over(Window.partitionBy("f", "w"))).where("s = most").select("f", "w", "z")
+    # merge joins: a broadcast would go through the driver
+    pairs = top.hint("merge").join(by_field(spelled), ["f", "w"]).select("f", "z", "h", "r")
+    pairs = pairs.hint("merge").join(by_field(cand).select("f", F.col("w").alias("z"), F.col("h").alias("zh"), F.col("r").alias("zr"), "o"), ["f", "z"])
+    sh, sr = (F.when(F.col(a) != "", ratio(F.col(a), F.col(z))).otherwise(0.0) for a, z in (("h", "zh"), ("r", "zr")))
+    scored = pairs.select("h", "r", "o", sh.alias("sh"), sr.alias("sr")).withColumn("s", F.greatest("sh", "sr", F.col("sh") * 0.7 + F.col("sr") * 0.3)).where(F.col("s") >= threshold)
     best = scored.groupBy("h", "r").agg(F.max(F.struct("s", -F.col("o"))).alias("m")).select("h", "r", F.col("m.s").alias("score"), (-F.col("m.col2")).alias("candidate"))
-    return t.join(best, ["h", "r"]).select(F.col("o").alias("target"), "candidate", "score")
+    return t.hint("merge").join(best, ["h", "r"]).select(F.col("o").alias("target"), "candidate", "score")

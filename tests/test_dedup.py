@@ -107,3 +107,33 @@ def test_fuzzy_loses_no_pair(spark):
     schema = "rec_id long, word_hindi string, word_hinglish_roman string"
     got = {x.target: (x.candidate, round(x.score, 6)) for x in fuzzy_best(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)).collect()}
     assert got == want and len(got) > 10
+
+
+def test_fuzzy_broadcasts_nothing(spark):
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("aghrkl") for _ in range(r.randint(5, 20)))
+    rows = [(i, word(), word()) for i in range(200)]
+    more = [(1000 + i, h[:3] + h[4:], s) for i, h, s in rows]
+    a, b = (spark.createDataFrame(x, "rec_id long, word_hindi string, word_hinglish_roman string") for x in (rows, more))
+    got = fuzzy_best(a, b)
+    want = sorted(map(tuple, got.collect()))
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString() and len(want) == 200
+    # cells of a few rows give the same
+    assert sorted(map(tuple, fuzzy_best(a, b, cell_rows=7).collect())) == want
+
+
+def test_near_pairs_loses_none():
+    from lexmill.functions.fuzzy import indel_ratio, near_pairs
+
+    r, found = random.Random(3), 0
+    for n, m, threshold in ((1, 1, 85), (8, 10, 85), (11, 14, 85), (16, 16, 85), (20, 21, 85), (14, 14, 70), (30, 27, 85), (70, 71, 85)):
+        a = list({"".join(r.choice("abcdefgh") for _ in range(n)) for _ in range(160)})
+        z = list({w[:2] + "i" * (m - n if m != n else 1) + w[2 + (n - m if m < n else m == n) :] for w in a if n > 2} | {"".join(r.choice("abcdefgh") for _ in range(m)) for _ in range(10)})
+        want = set()
+        for v in a:
+            scored = [(indel_ratio(v, w), w) for w in z]
+            want |= {(v, w, s) for s, w in scored if s == max(scored)[0] >= threshold}
+        got = near_pairs(a, z, threshold)
+        assert set(got) == want and len(got) == len(want)
+        found += len(want)
+    assert found > 500
