@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -14,9 +16,11 @@ from pyspark.sql.functions import pandas_udf
 CELL_ROWS, EXACT_LETTERS = 30_000, 63
 #: Deletions and insertions that a piece of a spelling may hold.
 EDITS = 2
+#: Hashes made at once, and the most of a cell for which whole words meet with more letters left out.
+CHUNK, MOST_KEYS = 4_000_000, 100_000_000
 #: Base of the hash of letters and its inverse, modulo 2^64.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE, _INVERSE2 = (np.uint64(pow(0x9E3779B97F4A7C15, -k, 1 << 64)) for k in (1, 2))
+_INVERSE = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
 
 def indel_ratio(a: str, b: str) -> float:
@@ -50,19 +54,25 @@ def _codes(words: list[str], n: int) -> np.ndarray:
 
 
 def _keys(codes: np.ndarray, lost: int) -> np.ndarray:
-    """[words, ways]: hashes of what is left of the words if ``lost`` (0 to 2) letters go."""
+    """[words, ways]: hashes of what is left of the words if ``lost`` letters go."""
     n, w = codes.shape
     v = codes.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
     v ^= v >> np.uint64(29)
-    powers = np.cumprod(np.full(w + 1, _BASE)) * _INVERSE
+    powers = np.cumprod(np.full(w + 1, _BASE)) * np.uint64(_INVERSE)
     sums = np.zeros((n, w + 1), np.uint64)
     np.cumsum((v + np.uint64(1)) * powers[:w], 1, out=sums[:, 1:])
-    if lost == 0:
-        return sums[:, -1:]
-    if lost == 1:
-        return sums[:, :-1] + _INVERSE * (sums[:, -1:] - sums[:, 1:])
-    i, k = np.triu_indices(w, 1)
-    return sums[:, i] + _INVERSE * (sums[:, k] - sums[:, i + 1]) + _INVERSE2 * (sums[:, -1:] - sums[:, k + 1])
+    out, start, factor = np.zeros((n, math.comb(w, lost)), np.uint64), 0, 1
+    for i in _ways(w, lost).T:
+        out += np.uint64(factor) * (sums[:, i] - sums[:, start].reshape(n, -1))
+        start, factor = i + 1, factor * _INVERSE % 2**64
+    out += np.uint64(factor) * (sums[:, -1:] - sums[:, start].reshape(n, -1))
+    return out
+
+
+@cache
+def _ways(w: int, lost: int) -> np.ndarray:
+    """[ways, lost]: places of letters to leave out, in order."""
+    return np.array(list(combinations(range(w), lost)), np.int64).reshape(math.comb(w, lost), lost)
 
 
 def _equal(a: np.ndarray, z: np.ndarray) -> np.ndarray:
@@ -103,11 +113,21 @@ def _common(a: np.ndarray, z: np.ndarray) -> np.ndarray:
     return np.bitwise_count(mask & ~v).astype(np.int64)
 
 
+def _whole(a: int, n: int, x: int, z: int, m: int, y: int) -> bool:
+    """Whether a cell's whole words are few enough to be met with all ways to leave out letters."""
+    return max(x, y) <= EDITS or a * math.comb(n, x) + z * math.comb(m, y) <= MOST_KEYS and max(math.comb(n, x), math.comb(m, y)) <= CHUNK // 40
+
+
 def _met(a: np.ndarray, z: np.ndarray, x: int, y: int) -> Iterator[np.ndarray]:
     """Pairs of rows, as numbers, among which are all that are alike but for x letters of a and y of z."""
     n, m, d = a.shape[1], z.shape[1], x + y
-    if max(x, y) <= EDITS:  # what is left of both is equal
-        yield _equal(_keys(a, x), _keys(z, y))
+    if _whole(len(a), n, x, len(z), m, y):  # what is left of both is equal
+        at, to = (max(1, CHUNK // math.comb(k, lost)) for k, lost in ((n, x), (m, y)))
+        for j in range(0, len(z), to):
+            keys = _keys(z[j : j + to], y)
+            for i in range(0, len(a), at):
+                pairs = _equal(_keys(a[i : i + at], x), keys)
+                yield (pairs // len(keys) + i) * len(z) + pairs % len(keys) + j
         return
     # z is cut so that one piece has few edits at least, whatever their places
     pieces = d // (EDITS + 1) + 1
@@ -136,7 +156,7 @@ def near_pairs(a: list[str], z: list[str], threshold: float) -> list[tuple[str,
     x, y = n - least, m - least
     ac, zc = _codes(a, n), _codes(z, m)
     pieces = (x + y) // (EDITS + 1) + 1
-    if len(a) * len(z) <= 20_000 or m // pieces <= 2 * EDITS and max(x, y) > EDITS:
+    if len(a) * len(z) <= 20_000 or m // pieces <= 2 * EDITS and not _whole(len(a), n, x, len(z), m, y):
         step = max(1, 4_000_000 // len(z))
         met: Iterable[np.ndarray] = (np.arange(i * len(z), min(i + step, len(a)) * len(z)) for i in range(0, len(a), step))
     else:
