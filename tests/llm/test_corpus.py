@@ -537,3 +537,20 @@ def test_against_sql(spark, name):
     columns = sorted(d[0] for d in cur.description)
     assert sorted(df.columns) == columns
     assert sorted(map(str, df.select(columns).collect())) == sorted(str(row) for row in df.sparkSession.createDataFrame(con.execute(f"select {', '.join(columns)} from ({queries.oracle_sql()[name]})").fetchall(), df.select(columns).schema).collect())
+
+
+def test_learned_terms_come_in_parts(spark):
+    import numpy as np
+
+    from lexmill.llm import content
+
+    # "zorka" and others stand where the listed "badword" stands, in sentences that look bad
+    texts = [f"{w} sits {x}" for w in ("badword", "zorka", "mirgul", "tolvan", "pelshu") for x in ("there", "here")]
+    dense = np.zeros((content.DIMS, len(content.CATEGORIES)), np.float32)
+    dense[0, 1] = 5
+    got = []
+    for rows in (1, 2, content.TERM_ROWS):
+        corpus = content.SparkCorpus(spark.createDataFrame([("x", [t]) for t in texts], "h string, ts array<string>"), rows)
+        corpus.restore(content.CharLM({"sits": 1.0}), {"badword": "abuse"}, {"badword": "abuse"}, [], [])
+        got.append(corpus.slots(dense, {"badword": "abuse"}))
+    assert got[0] == got[1] == got[2] and set(got[0]) == {"badword", "zorka", "mirgul", "tolvan", "pelshu"}
